@@ -31,6 +31,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound what a Python worker holds at once: texts may be long, and Arrow batches are sized by rows."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table made by ``materialise``."""
     spark = df.sparkSession
