@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import chat, ngram_join, secrets
+from tallywright.llm import chat, ngram_join, packing, secrets, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,20 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarise(chat.format_examples(given.unionByName(own)))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end_id=0)
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -32,6 +46,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_token_store": op6_token_store,
+    "op7_packing": op7_packing,
     "op10_secret_scans": op10_secret_scans,
 }
 
