@@ -84,11 +84,7 @@ def string_blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[in
         row = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start byte, end byte, hash, row) of every word of a block."""
-    if not len(data):
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64), none
+def _bounds(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
     inside = alphabet.is_word[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -97,12 +93,36 @@ def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> tuple[np
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     last[edges[edges > 0] - 1] = inside[edges[edges > 0] - 1]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = powers(len(data) + 1)
-    prefix = np.empty(len(data) + 1, np.uint64)
-    prefix[0] = 0
-    np.cumsum(alphabet.values[data] * up[: len(data)], out=prefix[1:])
-    hashes = mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def _prefix_sums(data: np.ndarray, alphabet: Alphabet) -> np.ndarray:
+    out = np.empty(len(data) + 1, np.uint64)
+    out[0] = 0
+    np.cumsum(alphabet.values[data] * powers(len(data) + 1)[0][: len(data)], out=out[1:])
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start byte, end byte, hash, row) of every word of a block."""
+    start, end, (hashes,), rows = words_and_heads(data, offsets, alphabet, ())
+    return start, end, hashes, rows
+
+
+def words_and_heads(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet, heads: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """Like ``words``; after the words' hashes also those of their first so many bytes (0 for words no longer than that)."""
+    if not len(data):
+        none = np.zeros(0, np.int64)
+        return none, none, [np.zeros(0, np.uint64)] * (1 + len(heads)), none
+    start, end = _bounds(data, offsets, alphabet)
+    prefix, down = _prefix_sums(data, alphabet), powers(len(data) + 1)[1]
+    hashes = [mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))]
+    for n in heads:
+        longer = end - start > n
+        part = np.zeros(len(start), np.uint64)
+        at = start[longer]
+        part[longer] = mix((prefix[at + n] - prefix[at]) * down[at] + np.uint64(n) + np.uint64(0x100000000))
+        hashes.append(part)
     return start, end, hashes, np.searchsorted(offsets, start, "right") - 1
 
 
