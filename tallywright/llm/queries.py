@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import chat, decontaminate, ngram_join, packing, secrets, token_store, toxicity
+from tallywright.llm import chat, decontaminate, ngram_join, packing, quality, secrets, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.to_json("passages").alias("passages"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.fit(documents))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_store": op6_token_store,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scans": op10_secret_scans,
 }
 
