@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import chat, decontaminate, ngram_join, packing, quality, secrets, token_store, toxicity
+from tallywright.llm import chat, decontaminate, embed_dedup, ngram_join, packing, quality, secrets, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=3, numerator=90, denominator=100)
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_store": op6_token_store,
@@ -92,6 +97,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM summed GROUP BY conv_id
 """
 
+OP3_SQL = r"""
+WITH RECURSIVE given AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), sound AS (
+  SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM given
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+FROM given LEFT JOIN counted ON counted.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
 OP4_SQL = r"""
 WITH said AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -116,4 +143,4 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM said LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL, "op5_chat_formatting": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_embedding_near_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_chat_formatting": OP5_SQL}
