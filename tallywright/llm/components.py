@@ -17,7 +17,7 @@ from tallywright.llm.scratch import discard, materialise
 def own_exchange(column: Column) -> Column:
     """The same long under an expression the planner doesn't see through: a join on it gets an exchange of its
     own on this side too, and so AQE can split hot keys of the other side instead of sending them to one task."""
-    return column + F.lit(0).cast("long")
+    return column.bitwiseXOR(F.lit(0).cast("long"))
 
 
 def _targets(edges: DataFrame) -> DataFrame:

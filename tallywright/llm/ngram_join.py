@@ -317,7 +317,8 @@ def ngram_components(documents: DataFrame, k: int = 5, numerator: int = 80, deno
     blocks = F.greatest(F.least(F.ceil(F.col("sets") / FEW), F.lit(SPREAD)), F.ceil(F.col("sets") / MOST_SETS), F.ceil(F.col("tokens") / MOST_TOKENS))
     shape = shape.select(own_exchange(F.col("unit")).alias("u"), blocks.cast("int").alias("blocks"))
     members = members.join(shape, F.col("unit") == F.col("u")).select(F.col("doc_id").alias("id"), "unit", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"))
-    texts = documents.select("doc_id", "text").join(members, F.col("doc_id") == F.col("id")).select("unit", "blocks", "block", "doc_id", "text")
+    # Never broadcast: members are a share of all documents, and so the plan is the same at every size.
+    texts = documents.select("doc_id", "text").join(members.hint("merge"), F.col("doc_id") == F.col("id")).select("unit", "blocks", "block", "doc_id", "text")
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
