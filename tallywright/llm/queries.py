@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import chat, decontaminate, embed_dedup, ngram_join, packing, quality, secrets, token_store, toxicity
+from tallywright.llm import chat, decontaminate, embed_dedup, licenses, ngram_join, packing, quality, secrets, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=3, numerator=90, denominator=100)
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
@@ -63,6 +67,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_license_scans": op2_license_scans,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_chat_formatting": op5_chat_formatting,
@@ -97,6 +102,30 @@ SELECT conv_id, count(*) AS n_turns,
 FROM summed GROUP BY conv_id
 """
 
+def _op2_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def one_spelling(sql: str) -> str:
+        for old, new in licenses.SPELLINGS:
+            sql = f"replace({sql}, {quoted(old)}, {quoted(new)})"
+        return sql
+
+    lower = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+    lines = one_spelling(f"regexp_replace(regexp_replace({lower}, {quoted(licenses.COPYRIGHT)}, '', 'g'), {quoted(licenses.SIGNS)}, ' ', 'g')")
+    known = [("text", k, t) for k, t in licenses.known_texts()] + [("notice", k, t) for k, t in licenses.known_notices()]
+    values = ",".join(f"({quoted(kind)}, {quoted(k)}, {quoted(licenses.canonical(t))})" for kind, k, t in known)
+    return f"""
+WITH known AS (SELECT kind, said, min(license) AS license FROM (VALUES {values}) AS v(kind, license, said) GROUP BY kind, said),
+formed AS (SELECT doc_id, {lines} AS said FROM documents),
+whole AS (SELECT doc_id, trim(regexp_replace(said, '[ \n]+', ' ', 'g'), ' ') AS said FROM formed),
+lines AS (SELECT doc_id, trim(line, ' ') AS line FROM (SELECT doc_id, unnest(string_split(said, chr(10))) AS line FROM formed)),
+noted AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM lines JOIN known ON kind = 'notice' AND line = said GROUP BY doc_id)
+SELECT whole.doc_id, sha256(whole.said) AS text_sha256, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
+FROM whole LEFT JOIN known ON kind = 'text' AND known.said = whole.said LEFT JOIN noted ON noted.doc_id = whole.doc_id
+"""
+
+
 OP3_SQL = r"""
 WITH RECURSIVE given AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -143,4 +172,4 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM said LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_embedding_near_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_chat_formatting": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_license_scans": _op2_sql(), "op3_embedding_near_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_chat_formatting": OP5_SQL}
