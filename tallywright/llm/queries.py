@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.llm import chat, decontaminate, embed_dedup, licenses, ngram_join, packing, quality, secrets, token_store, toxicity
+from tallywright.llm.scratch import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +34,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tallywright-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound what a Python worker holds at once: texts may be long, and Arrow batches are sized by rows."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
