@@ -46,3 +46,44 @@ def ngram_components(rows, k, numerator, denominator):
                 links.append((e, d))
     found = components(sets, links)
     return {(d, len(sets[d]), found[d]) for d in sets}
+
+
+def item_words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def contamination(documents, benchmark, span=13, share=20):
+    import hashlib
+
+    windows = defaultdict(set)
+    for item, text in benchmark:
+        w = item_words(text)
+        n = min(len(w), span)
+        for i in range(len(w) - n + 1 if w else 0):
+            windows[tuple(w[i : i + n])].add(str(item))
+    sizes = {len(k) for k in windows}
+    out = set()
+    for d, text in documents:
+        w = item_words(text)
+        hit, items = set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                found = windows.get(tuple(w[i : i + n]))
+                if found:
+                    hit |= set(range(i, i + n))
+                    items |= found
+        out.add((d, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit) and share * len(hit) >= len(w)))
+    return out
+
+
+def base_spans(text):
+    text = text or ""
+    out = []
+    for kind, pattern, keep in (
+        ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m.group(2)) >= 12),
+        ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 18),
+        ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m.group()) >= 16),
+    ):
+        out += [(m.start(), kind, m.end()) for m in pattern.finditer(text) if keep(m)]
+    return sorted(out, key=lambda x: (x[0], ("assign", "access", "hex").index(x[1])))
