@@ -91,10 +91,14 @@ def matches(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: in
             gram_hashes(hashes, gram),
             lambda g: F.transform(F.filter(_upto(F.size(g)), lambda i: F.array_contains(fps, F.element_at(g, i))), lambda p: F.transform(_between(p - (span - gram), p, n - (span - 1)), lambda i: _window(i, F.lit(span)))),
         )
-        parts = [F.flatten(long)]
-        for s in short:
-            parts.append(let(gram_hashes(hashes, s), lambda g, s=s: F.transform(F.filter(_upto(F.size(g)), lambda i: F.array_contains(fps, F.element_at(g, i))), lambda i: _window(i, F.lit(s)))))
-        return F.array_distinct(F.concat(*parts))
+        return F.array_distinct(F.concat(F.flatten(long), *(exact(hashes, fps, s) for s in short)))
+
+    def exact(hashes: Column, fps: Column, s: int) -> Column:
+        """(i, s) of the runs of s words with a hit."""
+        return let(
+            gram_hashes(hashes, s),
+            lambda g: F.transform(F.filter(_upto(F.size(g)), lambda i: F.array_contains(fps, F.element_at(g, i))), lambda i: _window(i, F.lit(s))),
+        )
 
     # One struct holds all, bound once, so that nothing is computed anew for an element.
     places = let(F.struct("hashes", "fps", F.size("words").alias("n")), lambda s: around(s["hashes"], s["fps"], s["n"]))
