@@ -6,8 +6,8 @@ is looked up among those of known licence texts, and the digest of each of its l
 notices ("Released under the MIT License."). Both tables are constants of this module (a few thousand rows
 whatever the input), so the lookups are broadcast hash joins; documents aren't shuffled for them.
 
-Defined cases: null and empty texts match nothing and have the digest of an empty text; repeated rows are matched
-each; a notice that stands twice counts twice, its licence once; doc_id may be null (no notices are reported then);
+Defined cases: null and empty texts match nothing and have the digest of an empty text; rows that repeat a doc_id
+are taken for one document: each shows the notices of all; a notice that stands twice counts twice, its licence once; doc_id may be null (no notices are reported then);
 other columns are ignored.
 """
 

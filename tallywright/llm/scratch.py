@@ -50,7 +50,8 @@ def ship(spark: SparkSession) -> None:
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound what a Python worker holds at once: texts may be long, and Arrow batches are sized by rows."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if now <= 0 or now > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
