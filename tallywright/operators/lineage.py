@@ -62,3 +62,35 @@ def stage_of(path: str, stages: dict[str, str]) -> str:
     if not hits:
         raise ValueError(f"no stage is declared for {path}")
     return stages[max(hits, key=len)]
+
+
+def bind_results(tests: DataFrame, results: DataFrame) -> DataFrame:
+    """tests (id, name, description, binds) with results (id, status, failures, message): failed ones first. A test without a
+    result hasn't run, and so isn't ok."""
+    both = tests.join(results, "id", "left")
+    ok = F.coalesce(F.col("status") == "pass", F.lit(False))
+    return both.select(
+        "name",
+        F.trim(F.coalesce("description", F.lit(""))).alias("description"),
+        F.coalesce("binds", F.array().cast("array<string>")).alias("binds"),
+        ok.alias("ok"),
+        F.when(F.col("status") == "warn", "warn").otherwise("error").alias("severity"),
+        F.coalesce("status", F.lit("not run")).alias("status"),
+        "failures",
+        F.coalesce("message", F.lit("")).alias("detail"),
+    ).orderBy("ok", "name")
+
+
+def summarise_results(checks: DataFrame) -> DataFrame:
+    """passed, failed, warned over ``bind_results``."""
+    return checks.agg(
+        F.count_if("ok").alias("passed"),
+        F.count_if(~F.col("ok") & (F.col("severity") == "error")).alias("failed"),
+        F.count_if(F.col("status") == "warn").alias("warned"),
+    )
+
+
+def of_node(checks: DataFrame, node: str, failed_only: bool = False) -> DataFrame:
+    """The checks that stand for one node."""
+    kept = checks.where(F.array_contains("binds", node))
+    return kept.where(~F.col("ok")) if failed_only else kept

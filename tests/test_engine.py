@@ -193,3 +193,25 @@ def test_lineage(spark):
     assert lineage.stage_of("models/core/x.sql", {"models/": "m", "models/core": "core"}) == "core"
     with pytest.raises(ValueError):
         lineage.stage_of("other", {"models": "m"})
+
+
+def test_check_results(spark):
+    tests_ = spark.createDataFrame([("1", "b", " x ", ["n"]), ("2", "a", None, ["n", "m"]), ("3", "c", "", None)], "id string, name string, description string, binds array<string>")
+    results = spark.createDataFrame([("1", "pass", 0, None), ("2", "warn", 3, "three")], "id string, status string, failures int, message string")
+    bound = lineage.bind_results(tests_, results)
+    assert [(r.name, r.ok, r.severity, r.status) for r in bound.collect()] == [("a", False, "warn", "warn"), ("c", False, "error", "not run"), ("b", True, "error", "pass")]
+    assert tuple(lineage.summarise_results(bound).first()) == (1, 1, 1)
+    assert [r.name for r in lineage.of_node(bound, "n", failed_only=True).collect()] == ["a"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tallywright.__main__ import main
+
+    root = str(tmp_path / "raw")
+    for d in (EXPENDITURE, REVENUE):
+        budget.raw(spark, d).repartition(1).write.partitionBy(*PARTITIONS).mode("append").parquet(root)
+    with open(tmp_path / "rules.csv", "w") as f:
+        f.write(",".join(c.split()[0] for c in budget.RULES_DDL.split(", ")) + "\r\n")
+        f.writelines(",".join("" if v is None else str(v) for v in r) + "\r\n" for r in budget.RULES)
+    assert main(["checks", "--raw", root, "--rules", str(tmp_path / "rules.csv"), "--jurisdiction", budget.CITY]) == 0
+    assert "pass  consolidation_pairs_balance" in capsys.readouterr().out

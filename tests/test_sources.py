@@ -113,3 +113,11 @@ def test_streaming_ingest(spark, tmp_path):
     for _ in range(2):
         ingest.ingest_available(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_taxonomy(spark):
+    from tallywright.sources.taxonomy import column_types
+
+    text = "# T\n##### `value`\n\n- _dataType_: number\n\n##### `a:level{1..2}:code`\n\nText\n- _dataType_: `string`\n- _unique_: true\n\n##### `a:level{1..2}:label`\n- _dataType_: string\n- _labelOf_: `a:level1:code`\n## Next\n- _prior_: x\n##### `none`\nnothing"
+    got = [tuple(r) for r in column_types(spark.createDataFrame([(text,)], "value string")).collect()]
+    assert got == [("value", "number", False, None, None), ("a:level1:code", "string", True, None, None), ("a:level2:code", "string", True, None, None), ("a:level1:label", "string", False, "a:level1:code", None), ("a:level2:label", "string", False, "a:level2:code", None)]
