@@ -1,8 +1,11 @@
 """Secret scans: fixed patterns plus a battery of randomness tests.
 
-The patterns (assign, access, hex) give the base spans. Beyond them every run of 20 or more characters
-``[A-Za-z0-9+/_=-]`` is a hypothesis "this is ordinary text or an identifier". Its encoding is inferred (decimal,
-hex, base32, base64/base62); three tests then ask whether it could be a random string in that encoding:
+The patterns (assign, access, hex) give the base spans. In the text between them every maximal run of 20 or more symbols
+of one alphabet (decimal, hex, base32, base36, base62, base64, base64url) is a hypothesis "this is ordinary text or an
+identifier"; runs of several alphabets may nest or overlap, and each is one. ``=`` belongs to no alphabet, so it parts a
+name from its value; at the end of a run it is padding. Letters of one case only, with or without punctuation or a first
+capital, are words and no hypothesis. The encoding is the smallest alphabet that holds the run; three tests then ask
+whether it could be a random string in that encoding:
 
 * chi-squared: are the symbols uniform over the inferred alphabet;
 * runs: do symbols of the upper half of the alphabet alternate with the lower half as chance has it;
@@ -12,7 +15,7 @@ A string that any test rejects (p < ``reject``) is not random. For the rest the
 text is the likelihood ratio of the uniform model to a fixed letter-frequency model of prose; by Markov's
 inequality its inverse is a p-value that falls with length, so short strings cannot reach it. These
 p-values go through Benjamini-Hochberg within each document, each weighted by its length (weights of
-mean one), at level ``fdr``.
+mean one), at level ``fdr``. Of found runs that nest, the outermost is reported.
 
 Defined cases: a null text is empty and has no spans; a null doc_id stays null; repeated rows are each
 scanned; offsets are code points, end exclusive; an empty table gives no rows.
@@ -47,6 +50,7 @@ ALPHABETS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
 _SETS = {k: frozenset(v) for k, v in ALPHABETS.items()}
+_RUNS = [re.compile(f"[{re.escape(v)}]{{20,}}") for v in ALPHABETS.values()]
 
 
 def infer_encoding(value: str) -> str | None:
@@ -102,23 +106,37 @@ def prose_p_value(value: str, encoding: str) -> float:
     return math.exp(-max(total, 0.0))
 
 
+def hypotheses(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, end with padding) of every maximal run of one alphabet outside the spans ``taken``, in order."""
+    found, at = set(), 0
+    for s, e in [*sorted(taken), (len(text), len(text))]:
+        for m in CANDIDATE.finditer(text, at, max(s, at)):
+            last = m.start() + len(m.group().rstrip("="))
+            for run in _RUNS:
+                found.update((*x.span(), m.end() if x.end() == last else x.end()) for x in run.finditer(text, m.start(), last))
+        at = max(at, e)
+    return sorted(found)
+
+
 def random_spans(text: str, taken: list[tuple[int, int]], fdr: float, reject: float) -> list[tuple[int, int]]:
     found = []
-    for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, e in taken):
-            continue
-        value = m.group().rstrip("=")
-        kind = infer_encoding(value) if len(value) >= 20 else None
+    for s, end, e in hypotheses(text, taken):
+        value = text[s:end]
+        kind = infer_encoding(value)
         if kind is None:
             continue
         random = min(battery(value, kind)) >= reject
-        found.append((prose_p_value(value, kind) if random else 1.0, m.start(), m.end()))
+        found.append((prose_p_value(value, kind) if random else 1.0, s, e))
     if not found:
         return []
     mean = sum(e - s for _, s, e in found) / len(found)
     weighted = sorted((p * mean / (e - s), s, e) for p, s, e in found)
     passed = max((i for i, (p, _, _) in enumerate(weighted, 1) if p <= fdr * i / len(weighted)), default=0)
-    return [(s, e) for _, s, e in weighted[:passed]]
+    spans: list[tuple[int, int]] = []
+    for s, e in sorted(((s, e) for _, s, e in weighted[:passed]), key=lambda x: (x[0], -x[1])):
+        if not spans or e > spans[-1][1]:
+            spans.append((s, e))
+    return spans
 
 
 def scan_text(text: str, fdr: float = 1e-4, reject: float = 1e-3) -> list[tuple[int, int, str, int]]:
