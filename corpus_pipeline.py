@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.llm import decontaminate, ngram_join, packing, quality, secrets
-from tallywright.llm.components import own_exchange
+from tallywright.llm.components import own_exchange, row_digest
 from tallywright.llm.queries import table, tokenizer_path
 from tallywright.llm.scratch import materialise, ship
 
 
-def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id isn't in ``gone``; rows without doc_id stay. Never broadcast: ``gone`` grows with ``docs``."""
-    return docs.join(gone.select(own_exchange(F.col(name)).alias("__gone")).hint("merge"), docs["doc_id"] == F.col("__gone"), "left_anti")
+def _without(docs: DataFrame, gone: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of ``docs`` whose key in ``names`` isn't in ``gone``. Never broadcast: ``gone`` grows with ``docs``."""
+    gone = gone.select(*(own_exchange(F.col(n)).alias(f"__gone_{n}") for n in names)).hint("merge")
+    return docs.join(gone, reduce(and_, (docs[n] == F.col(f"__gone_{n}") for n in names)), "left_anti")
+
+
+def _told_apart(docs: DataFrame) -> Column:
+    """A long that two rows share only if they agree in doc_id and text: doc_id, with a hash where it is null, or where that
+    doesn't tell all rows apart a hash of both; with another seed as long as different rows share one."""
+    a, b = row_digest()
+    text, seed = F.coalesce("text", F.lit("")), 0
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
+    while docs.groupBy(key.alias("key")).agg(F.min(a).alias("a"), F.max(a).alias("c"), F.min(b).alias("b"), F.max(b).alias("d")).where("a <> c OR b <> d").limit(1).count():
+        seed += 1
+        key = F.xxhash64(F.lit(seed), "doc_id", text)
+    return key
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,18 +40,27 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more on five-word shingles, the one with the least doc_id.
-    Rows that repeat a doc_id are one document and stay or go together."""
+    """Of rows linked by a similarity of 0.8 or more on five-word shingles, the one with the least doc_id; rows without doc_id
+    come after all others. Of rows that agree in doc_id and text one stays. Texts without words are linked with nothing and stay."""
     ship(spark)
-    groups = ngram_join.ngram_components(docs, k=5, numerator=80, denominator=100)
-    return _without(docs, groups.where("doc_id <> component_id").distinct(), "doc_id")
+    key, worded = _told_apart(docs), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    groups = ngram_join.ngram_components(docs.select(key.alias("doc_id"), "text"), k=5, numerator=80, denominator=100)
+    moved = materialise(groups.where("doc_id <> component_id").select("doc_id", "component_id").distinct(), "linked")
+    members = moved.unionByName(moved.select(F.col("component_id").alias("doc_id"), "component_id").distinct())
+    named = docs.select("doc_id", key.alias("__key")).distinct()
+    named = members.select(own_exchange(F.col("doc_id")).alias("__member"), "component_id").join(named, F.col("__member") == F.col("__key"))
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__key")).alias("first")).select(F.col("first.__key").alias("__first"))
+    gone = members.select(F.col("doc_id").alias("__key")).join(first, F.col("__key") == F.col("__first"), "left_anti")
+    kept = _without(docs.where(worded).withColumn("__key", key), gone, ["__key"]).dropDuplicates(["__key"]).drop("__key")
+    return kept.unionByName(docs.where(~worded))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which windows of ``benchmark`` hit less than one word in twenty."""
     ship(spark)
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id").distinct(), "doc_id")
+    found = decontaminate.contamination_by_row(docs, table(spark, sf_dir, "benchmark"))
+    a, b = row_digest()
+    return _without(docs.withColumns({"row_a": a, "row_b": b}), found.where("contaminated").select("row_a", "row_b").distinct(), ["row_a", "row_b"]).drop("row_a", "row_b")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

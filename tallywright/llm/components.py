@@ -20,6 +20,12 @@ def own_exchange(column: Column) -> Column:
     return column.bitwiseXOR(F.lit(0).cast("long"))
 
 
+def row_digest() -> tuple[Column, Column]:
+    """128 bits of a row's doc_id (null or not) and text: the key of a row where doc_id may be null or repeat."""
+    text = F.coalesce("text", F.lit(""))
+    return F.xxhash64("doc_id", text), F.xxhash64(F.lit(1), "doc_id", text)
+
+
 def _targets(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m")).select(own_exchange(F.col("u")).alias("k"), "m")
 

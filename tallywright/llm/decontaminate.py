@@ -10,8 +10,9 @@ Fingerprints are joined; around each hit the document's windows that can hold it
 items' windows, so results are exact. Item tables are broadcast only below ``SMALL`` rows, else both sides are
 dealt by key. Texts are shuffled only to meet the documents with a hit.
 
-Defined cases: null or empty texts have no words, are never hit, and as items have no window; doc_id may be null;
-repeated rows each give the same result row; repeated items count by item_id; other columns are ignored.
+Defined cases: null or empty texts have no words, are never hit, and as items have no window; doc_id may be null or
+repeat, as rows are told apart by a 128-bit digest of doc_id and text; repeated rows each give the same result row;
+repeated items count by item_id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.llm.components import own_exchange, row_digest
 from tallywright.llm.scratch import materialise
 
 SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -68,8 +70,13 @@ def _small(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(made) if made.limit(SMALL + 1).count() <= SMALL else made
 
 
+def keyed(documents: DataFrame) -> DataFrame:
+    a, b = row_digest()
+    return documents.select("doc_id", "text", a.alias("row_a"), b.alias("row_b"))
+
+
 def matches(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: int = 5) -> DataFrame:
-    """doc_id, hits (array of first word from 1, and words), items (array of item_id): documents with a window only."""
+    """row_a, row_b (a row's digest), hits (array of first word from 1, and words), items (array of item_id): rows with a window only."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     found = items.where(F.size("words") < span).select(F.size("words").alias("n")).distinct()
     short = sorted(r["n"] for r in found.collect())  # fewer than ``span`` numbers
@@ -79,10 +86,11 @@ def matches(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: in
     windows = items.select("item_id", size.alias("n"), F.explode(_upto(F.size("words") - size + 1)).alias("i"), "words")
     windows = _small(windows.select("item_id", "n", F.array_join(F.slice("words", F.col("i"), F.col("n")), " ").alias("window")).distinct(), "item-windows")
 
-    mine = documents.select("doc_id", F.explode(fingerprints(words_of(F.col("text")), span, gram, short)).alias("fp"))
-    hit = mine.join(prints, F.col("fp") == F.col("print")).groupBy("doc_id").agg(F.collect_set("fp").alias("fps"))
-    hit = materialise(hit.select(F.col("doc_id").alias("hit_id"), "fps"), "hit-documents")
-    texts = documents.select("doc_id", "text").join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id"))).select("doc_id", words_of(F.col("text")).alias("words"), "fps")
+    rows = keyed(documents)
+    mine = rows.select("row_a", "row_b", F.explode(fingerprints(words_of(F.col("text")), span, gram, short)).alias("fp"))
+    hit = mine.join(prints, F.col("fp") == F.col("print")).groupBy("row_a", "row_b").agg(F.collect_set("fp").alias("fps"))
+    hit = materialise(hit.select(F.col("row_a").alias("hit_a"), F.col("row_b").alias("hit_b"), "fps"), "hit-documents")
+    texts = rows.join(hit, (F.col("row_a") == F.col("hit_a")) & (F.col("row_b") == F.col("hit_b"))).select("row_a", "row_b", words_of(F.col("text")).alias("words"), "fps")
     hashed = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
 
     def around(hashes: Column, fps: Column, n: Column) -> Column:
@@ -102,9 +110,9 @@ def matches(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: in
 
     # One struct holds all, bound once, so that nothing is computed anew for an element.
     places = let(F.struct("hashes", "fps", F.size("words").alias("n")), lambda s: around(s["hashes"], s["fps"], s["n"]))
-    tried = hashed.select("doc_id", "words", F.explode(places).alias("w")).select("doc_id", F.col("w.i").alias("i"), F.col("w.n").alias("long"), F.array_join(F.slice("words", F.col("w.i"), F.col("w.n")), " ").alias("said"))
+    tried = hashed.select("row_a", "row_b", "words", F.explode(places).alias("w")).select("row_a", "row_b", F.col("w.i").alias("i"), F.col("w.n").alias("long"), F.array_join(F.slice("words", F.col("w.i"), F.col("w.n")), " ").alias("said"))
     same = tried.join(windows, (F.col("said") == F.col("window")) & (F.col("long") == F.col("n")))
-    return same.groupBy("doc_id").agg(F.collect_set(F.struct("i", "n")).alias("hits"), F.collect_set("item_id").alias("items"))
+    return same.groupBy("row_a", "row_b").agg(F.collect_set(F.struct("i", "n")).alias("hits"), F.collect_set("item_id").alias("items"))
 
 
 def _window(i: Column, n: Column) -> Column:
@@ -126,14 +134,21 @@ def _whole(hashes: Column, lengths: list[int]) -> Column:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: int = 5, share: int = 20) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated (share * n_hit >= n_words > 0 hits) for every document."""
+    return contamination_by_row(documents, benchmark, span, gram, share).drop("row_a", "row_b")
+
+
+def contamination_by_row(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: int = 5, share: int = 20) -> DataFrame:
+    """``contamination`` with each row's digest in front."""
     found = matches(documents, benchmark, span, gram)
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["i"], h["i"] + h["n"] - 1)))))
     named = F.array_join(F.array_sort(F.array_distinct(F.transform("items", lambda x: x.cast("string")))), ",")
-    per = found.select(F.col("doc_id").alias("hit_id"), covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(named, 256).alias("items_sha256"))
-    counted = documents.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    every = counted.join(per, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
+    per = found.select(own_exchange(F.col("row_a")).alias("hit_a"), own_exchange(F.col("row_b")).alias("hit_b"), covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(named, 256).alias("items_sha256"))
+    counted = keyed(documents).select("row_a", "row_b", "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    every = counted.join(per, (F.col("row_a") == F.col("hit_a")) & (F.col("row_b") == F.col("hit_b")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     return every.select(
+        "row_a",
+        "row_b",
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),

@@ -108,6 +108,14 @@ def test_decontamination_odd_rows(spark, odd, nothing):
     assert decontaminate.contamination(odd, bench.where("false")).where("contaminated").count() == 0
 
 
+def test_decontamination_tells_rows_without_or_of_one_id_apart(spark):
+    docs = [(None, "one two three"), (None, "clean words only"), (None, "one two three"), (4, "one two three"), (4, "other clean words")]
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = rows_of(decontaminate.contamination(d, b), *names)
+    assert len(got) == 5 and set(got) == brute.contamination(docs, [(1, "one two three")])
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(6, 24))

@@ -42,6 +42,19 @@ def test_odd_rows_pass_all_stages(spark, sf_dir, odd, nothing):
         docs.count()
 
 
+def test_rows_without_or_of_one_id_are_judged_each(spark, sf_dir, tmp_path):
+    item = " ".join(f"item{i}" for i in range(30))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a), (7, a), (5, a + " end"), (None, b), (None, b), (6, c), (6, c), (8, d), (8, a), (None, item), (9, item), (9, "clean words"), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one = materialise(corpus_pipeline.keep_one_of_each_group(spark, docs, sf_dir), "test")
+    kept = [(5, a + " end"), (None, b), (6, c), (8, d), (9, item), (9, "clean words"), (None, ""), (None, "")]
+    assert sorted(map(str, map(tuple, one.collect()))) == sorted(map(str, kept)) and one.columns == docs.columns
+    clean = corpus_pipeline.keep_uncontaminated(spark, docs, str(tmp_path))
+    assert sorted(map(str, map(tuple, clean.collect()))) == sorted(str(r) for r in rows if r[1] != item)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
