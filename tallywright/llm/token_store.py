@@ -94,6 +94,8 @@ def _stage(tokenizer: str, end_id: int, width: int, cut: Cutting):
         encoder, sent = Encoder.at(tokenizer), set()
         for batch in batches:
             for lo, hi, ids, offsets in encoder.encode(batch.column(1), end_id):
+                if len(ids) and int(ids.max()) >> 8 * width:
+                    raise ValueError(f"id {int(ids.max())} doesn't fit in {width} bytes")
                 raw = ids.astype(f"<u{width}").tobytes()
                 chunks, recipes, at = [], [], 0
                 for doc, ends in zip(batch.column(0).slice(lo, hi - lo).cast(pa.int64()).to_pylist(), borders(ids, offsets, cut), strict=True):
@@ -156,8 +158,14 @@ def _manifest_of(recipes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_roots, "part long, n_documents long, n_tokens long, root binary")
 
 
+def width_of(tokenizer: str, end_id: int) -> int:
+    """Bytes an id that hold every id of the tokenizer, and ``end_id``."""
+    most = max(end_id, *Encoder.at(tokenizer).tokenizer.get_vocab(with_added_tokens=True).values())
+    return 2 if most < 1 << 16 else 4
+
+
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int, width: int = 2, cut: Cutting = Cutting()) -> None:
-    """``width``: 2 for ids below 65,536, else 4."""
+    """``width``: 2 for ids below 65,536, else 4 (see ``width_of``); an id that doesn't fit is an error."""
     spark = documents.sparkSession
     small_batches(spark)
     staged = documents.select("doc_id", "text").mapInArrow(_stage(tokenizer, end_id, width, cut), STAGED)
@@ -274,6 +282,6 @@ def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 def store_and_read(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Write a store in the shared folder and read it back."""
     spark = documents.sparkSession
-    path = fresh_path(spark, "tokens")
-    write_store(documents, path, tokenizer, end_id)
-    return read_digests(spark, path)
+    path, width = fresh_path(spark, "tokens"), width_of(tokenizer, end_id)
+    write_store(documents, path, tokenizer, end_id, width)
+    return read_digests(spark, path, width)

@@ -78,6 +78,19 @@ def test_store_round_trip(spark, odd, nothing, documents, tokenizer, encoded, tm
     assert token_store.store_and_read(odd, tokenizer).count() == 13
 
 
+def test_store_holds_wide_ids(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.WordLevel({"a": 5, "b": 5 + 65536, "c": 131072}, unk_token="a"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    t.save(f"{tmp_path}/wide.json")
+    df = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    r = token_store.store_and_read(df, f"{tmp_path}/wide.json").first()
+    assert r.ids_crc32 == zlib.crc32(np.array([5, 65541, 131072, 2], "<u4").tobytes())
+    with pytest.raises(Exception, match="doesn't fit in 2 bytes"):
+        token_store.write_store(df, f"file://{tmp_path}/narrow", f"{tmp_path}/wide.json", 2)
+
+
 def test_crc_of_joined_texts():
     rng, crc = random.Random(2), token_store.Crc32()
     for _ in range(50):
