@@ -197,27 +197,38 @@ def fit(documents: DataFrame, labels: DataFrame, t: Training = Training()) -> Mo
         return empty
     clean = best[best["toxic"] == 0]
     lam, k = gumbel(clean["best"].to_numpy(), clean["n"].to_numpy())
-    x = np.array([evidence(s, n, lam, k, t.significant)[:2] for s, n in zip(best["segments"], best["n"], strict=True)])
-    weights = logistic(x, best["toxic"].to_numpy(float))
+    shown = _evidence(rows.where(last), Model(keys, low, high, t.drift, lam, k, t.significant, (flat, 0.0, 0.0)))
+    weights = logistic(shown[["best", "total"]].to_numpy(), shown["toxic"].to_numpy(float))
     return Model(keys, low, high, t.drift, lam, k, t.significant, weights)
 
 
 def _best_scores(rows: DataFrame, draft: Model):
-    """Of a bounded number of rows: toxic, n words, best segment's score, and all segments' scores."""
-    import pandas as pd
-
+    """Of a bounded number of rows: toxic, n words, best segment's score."""
     held = rows.sparkSession.sparkContext.broadcast(draft)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, hashes, at in _blocks(batch.column(0)):
                 scores = held.value.word_scores(hashes)
-                found = [sorted((s for _, _, s in segments(scores[at[i] : at[i + 1]])), reverse=True)[:64] for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo).cast(pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["toxic", "n", "found"])
+                best = [max((float(s) for _, _, s in segments(scores[at[i] : at[i + 1]])), default=0.0) for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo).cast(pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(best, pa.float64())], ["toxic", "n", "best"])
+
+    return rows.select("text", "toxic").mapInArrow(run, "toxic long, n long, best double").toPandas()
+
+
+def _evidence(rows: DataFrame, model: Model):
+    """Of a bounded number of rows: toxic, and the evidence of the best and of all segments, as ``score`` takes it."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = held.value
+        for batch in batches:
+            for lo, hi, hashes, at in _blocks(batch.column(0)):
+                scores = m.word_scores(hashes)
+                x = [evidence(segments(scores[at[i] : at[i + 1]]), int(at[i + 1] - at[i]), m.lam, m.k, m.significant)[:2] for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo).cast(pa.int64()), *(pa.array([float(v[i]) for v in x], pa.float64()) for i in range(2))], ["toxic", "best", "total"])
 
-    got = rows.select("text", "toxic").mapInArrow(run, "toxic long, n long, found array<double>").toPandas()
-    segments_ = [[(0, 0, float(s)) for s in x] for x in got["found"]]
-    return pd.DataFrame({"toxic": got["toxic"], "n": got["n"], "best": [max((s for _, _, s in x), default=0.0) for x in segments_], "segments": segments_})
+    return rows.select("text", "toxic").mapInArrow(run, "toxic long, best double, total double").toPandas()
 
 
 def gumbel(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:

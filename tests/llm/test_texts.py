@@ -241,6 +241,15 @@ def test_toxicity_learns_words(spark, odd, nothing):
     assert toxicity.score_held_out(d.limit(20), y.where("false")).select("score").distinct().count() == 1
 
 
+def test_toxicity_calibrates_on_all_segments(spark):
+    text = " ".join("vile " + "calm " * 12 for _ in range(100))
+    key = next(h[0] for _, _, hashes, _ in toxicity._blocks(pa.array(["vile"])) for h in hashes[:1])
+    model = toxicity.Model(np.array([key], np.uint64), np.array([6.0]), np.array([6.0]), 0.5, 2.0, 1e-4, 0.05, (0.0, 0.0, 1.0))
+    shown = toxicity._evidence(spark.createDataFrame([(text, 1)], "text string, toxic int"), model).iloc[0]
+    scored = toxicity.score(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), model).first()
+    assert len(scored.passages) == 100 and abs(shown["total"] - sum(p.evidence for p in scored.passages)) < 1e-6
+
+
 def test_quality_rejects_junk_and_keeps_the_rest(spark, odd, nothing):
     rng = random.Random(8)
     words = ["the", "of", "and", *(f"ab{chr(97 + i % 26)}{chr(97 + i // 26)}er" for i in range(300))]
