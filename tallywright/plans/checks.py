@@ -31,9 +31,9 @@ class Result:
         return "pass" if not self.failures else "warn" if self.severity == "warn" else "fail"
 
 
-def run(checks: list[Check], most: int = 1000) -> list[Result]:
-    """Counts up to ``most`` rows each, so that a broken table doesn't cost more than a good one."""
-    return [Result(c.name, c.severity, c.rows.limit(most).count()) for c in checks]
+def run(checks: list[Check]) -> list[Result]:
+    """Counts all rows at fault."""
+    return [Result(c.name, c.severity, c.rows.count()) for c in checks]
 
 
 def summary(results: list[Result]) -> dict[str, int]:

@@ -31,6 +31,10 @@ def test_staging_splits_and_identifies(world):
     assert staged[EXPENDITURE].select("budget_line_id").distinct().count() == 22
 
 
+def test_all_rows_at_fault_are_counted(spark):
+    assert [r.failures for r in checks.run([checks.Check("many", spark.range(2500))])] == [2500]
+
+
 def test_trim_documented_and_as_typed(spark):
     df = spark.createDataFrame([("\t 01x\n　", "tnr郵便料nt")], "a string, b string")
     from tallywright.functions.text import trim_cell
