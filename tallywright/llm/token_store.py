@@ -260,23 +260,69 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(out, pa.int64())], ["part", "row", "doc_id", "n_tokens", "ids_crc32"])
 
 
-def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the files; all of the store is verified."""
+def _verified_recipes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Recipes and manifest, held against each other."""
     recipes = spark.read.parquet(f"{path}/recipes")
     kept = spark.read.parquet(f"{path}/manifest")
     found = _manifest_of(recipes)
     wrong = kept.exceptAll(found).unionAll(found.exceptAll(kept)).limit(1).count()
     if wrong:
         raise ValueError("the recipes don't match the manifest")
-    each = recipes.select("row", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("at"), "digests").select("row", "at", F.substring("digests", F.col("at") * DIGEST + 1, F.lit(DIGEST)).alias("address"))
-    chunks = read_chunks(spark, path).mapInArrow(_checked_chunks(width), "digest binary, n int, crc long")
-    got = each.join(chunks, F.col("address") == F.col("digest")).groupBy("row").agg(F.collect_list(F.struct("at", "n", "crc")).alias("chunks"))
+    return recipes, kept
+
+
+def _places(recipes: DataFrame) -> DataFrame:
+    each = recipes.select("row", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("at"), "digests")
+    return each.select("row", "at", F.substring("digests", F.col("at") * DIGEST + 1, F.lit(DIGEST)).alias("address"))
+
+
+def _with_chunks(recipes: DataFrame, got: DataFrame) -> DataFrame:
     got = got.select(own_exchange(F.col("row")).alias("of"), "chunks")
-    whole = recipes.join(got, F.col("row") == F.col("of")).select("part", "row", "doc_id", "n_tokens", "digests", "root", "chunks")
-    rebuilt = whole.mapInArrow(_rebuilt, "part long, row long, doc_id long, n_tokens long, ids_crc32 long")
+    return recipes.join(got, F.col("row") == F.col("of")).select("part", "row", "doc_id", "n_tokens", "digests", "root", "chunks")
+
+
+def _with_start(rebuilt: DataFrame, kept: DataFrame) -> DataFrame:
     before = kept.select(F.col("part").alias("own"), (F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).alias("base"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))
-    return rebuilt.withColumn("inside", inside).join(before, F.col("part") == F.col("own")).select("doc_id", (F.coalesce("base", F.lit(0)) + F.coalesce("inside", F.lit(0))).alias("start"), "n_tokens", "ids_crc32")
+    return rebuilt.withColumn("inside", inside).join(before, F.col("part") == F.col("own")).withColumn("start", F.coalesce("base", F.lit(0)) + F.coalesce("inside", F.lit(0)))
+
+
+def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the files; all of the store is verified."""
+    recipes, kept = _verified_recipes(spark, path)
+    chunks = read_chunks(spark, path).mapInArrow(_checked_chunks(width), "digest binary, n int, crc long")
+    got = _places(recipes).join(chunks, F.col("address") == F.col("digest")).groupBy("row").agg(F.collect_list(F.struct("at", "n", "crc")).alias("chunks"))
+    rebuilt = _with_chunks(recipes, got).mapInArrow(_rebuilt, "part long, row long, doc_id long, n_tokens long, ids_crc32 long")
+    return _with_start(rebuilt, kept).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def _joined(width: int):
+    """Recipes with the bytes of their chunks, to ids; every chunk is checked against its address."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, n_tokens, digests, root, chunks in zip(*(batch.column(c).to_pylist() for c in range(2, 7)), strict=True):
+                bodies = [x["ids"] for x in sorted(chunks, key=lambda x: x["at"])]
+                whole = [digests[i : i + DIGEST] for i in range(0, len(digests), DIGEST)]
+                raw = b"".join(bodies)
+                if [digest_of(x) for x in bodies] != whole or len(raw) != n_tokens * width or merkle_root(whole) != root:
+                    raise ValueError(f"document {doc} can't be rebuilt from the store")
+                out.append(np.frombuffer(raw, f"<u{width}").astype(np.int64))
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in out])]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), ids], ["part", "row", "doc_id", "n_tokens", "ids"])
+
+    return run
+
+
+def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
+    """doc_id, start, ids (end id last) of every document, rebuilt from its chunks; all of the store is verified."""
+    small_batches(spark)
+    recipes, kept = _verified_recipes(spark, path)
+    chunks = read_chunks(spark, path).select("digest", "ids")
+    got = _places(recipes).join(chunks, F.col("address") == F.col("digest")).groupBy("row").agg(F.collect_list(F.struct("at", "ids")).alias("chunks"))
+    rebuilt = _with_chunks(recipes, got).mapInArrow(_joined(width), "part long, row long, doc_id long, n_tokens long, ids array<long>")
+    return _with_start(rebuilt, kept).select("doc_id", "start", "ids")
 
 
 def store_and_read(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:

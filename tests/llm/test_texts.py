@@ -91,6 +91,18 @@ def test_store_holds_wide_ids(spark, tmp_path):
         token_store.write_store(df, f"file://{tmp_path}/narrow", f"{tmp_path}/wide.json", 2)
 
 
+def test_store_gives_ids_back(spark, tmp_path, documents, odd, nothing, tokenizer, encoded):
+    df = documents.select("doc_id", "text").where("doc_id > 20").unionByName(odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).select("doc_id", "text"))
+    path, ids = f"file://{tmp_path}/store", encoded(df)
+    token_store.write_store(df, path, tokenizer, 2)
+    got = token_store.read_ids(spark, path).collect()
+    assert {r.doc_id: r.ids for r in got} == {d: x + [2] for d, x in ids.items()} and len(got) == len(ids)
+    digests = {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_store.read_digests(spark, path).collect()}
+    assert {(r.doc_id, r.start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in got} == digests
+    token_store.write_store(nothing, f"file://{tmp_path}/empty", tokenizer, 2)
+    assert token_store.read_ids(spark, f"file://{tmp_path}/empty").count() == 0
+
+
 def test_crc_of_joined_texts():
     rng, crc = random.Random(2), token_store.Crc32()
     for _ in range(50):
