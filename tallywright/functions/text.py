@@ -72,11 +72,17 @@ def fullwidth_digits(value: int) -> str:
     return str(value).translate(str.maketrans("0123456789", "０１２３４５６７８９"))
 
 
+# Eras and the years that they began in, the latest first.
+ERAS = (("令和", 2019), ("平成", 1989), ("昭和", 1926))
+
+
 def era_labels(year: int) -> list[str]:
-    """Ways to write a fiscal year of the era that began in 2019."""
-    n = year - 2018
-    number = ["元"] if n == 1 else [str(n), fullwidth_digits(n)]
-    return [f"令和{x}年度" for x in number]
+    """Ways to write a fiscal year in its era, with either kind of digits; an era's first year has a sign of its own."""
+    era, first = next(((e, y) for e, y in ERAS if y <= year), (None, 0))
+    if era is None:
+        raise ValueError(f"no era is declared for {year}")
+    n = year - first + 1
+    return [f"{era}{x}年度" for x in (["元"] if n == 1 else [str(n), fullwidth_digits(n)])]
 
 
 def has_era_label(text: Column, year: int) -> Column:
@@ -88,12 +94,13 @@ def is_whole_number(text: Column) -> Column:
 
 
 def yen_short(amount: Column) -> Column:
-    """Compact amounts: in 億 from a hundred million, in 万 from ten thousand."""
+    """Compact amounts: in 億円 from a hundred million (whole ones from ten thousand million), in 万円 from ten thousand, else in 円."""
     size = F.abs(amount)
     return (
-        F.when(size >= 100_000_000, F.concat(F.format_number(amount / 100_000_000, 1), F.lit("億")))
-        .when(size >= 10_000, F.concat(F.format_number(F.round(amount / 10_000), 0), F.lit("万")))
-        .otherwise(F.format_number(amount, 0))
+        F.when(size >= 10_000_000_000, F.concat(F.format_string("%.0f", F.round(amount / 100_000_000).cast("double")), F.lit("億円")))
+        .when(size >= 100_000_000, F.concat(F.format_string("%.1f", F.round(amount / 100_000_000, 1).cast("double")), F.lit("億円")))
+        .when(size >= 10_000, F.concat(F.format_number(F.round(amount / 10_000), 0), F.lit("万円")))
+        .otherwise(F.concat(F.format_number(amount, 0), F.lit("円")))
     )
 
 
@@ -110,16 +117,23 @@ def labelled(code: Column, names: dict[str, str]) -> Column:
 
 
 def sniff(content: Column) -> Column:
-    """zip, pdf, xls, html or text, by the first bytes."""
-    head = F.hex(F.substring(content, 1, 8))
-    start = F.lower(F.ltrim(F.decode(F.substring(content, 1, 64), "ISO-8859-1")))
-    return (
-        F.when(head.startswith("504B0304"), "zip")
-        .when(head.startswith("25504446"), "pdf")
-        .when(head.startswith("D0CF11E0"), "xls")
-        .when(start.startswith("<!doctype html") | start.startswith("<html"), "html")
-        .otherwise("text")
-    )
+    """zip, pdf, xls, html or text, by the first 200 bytes."""
+    head = F.hex(F.substring(content, 1, 4))
+    return F.when(head.startswith("504B"), "zip").when(head == "25504446", "pdf").when(head.startswith("D0CF"), "xls").when(is_html(content), "html").otherwise("text")
+
+
+def is_html(content: Column) -> Column:
+    """Whether bytes begin with a document type or an html element, after blanks; what a server sends that hasn't the file."""
+    return F.decode(F.substring(content, 1, 200), "ISO-8859-1").rlike(r"(?i)^\s*<(!DOCTYPE|html)")
+
+
+def origin_of(url: Column) -> Column:
+    """Scheme and authority."""
+    return F.concat(F.parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.parse_url(url, F.lit("AUTHORITY")))
+
+
+def any_within(text: Column, words) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
 
 
 def data_rows(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions.text import any_contains, labelled
+from tallywright.sources.tables import constant
 from tallywright.model import DIVISIONS, LEVELS, UNIT
 
 
@@ -16,6 +17,27 @@ def _amounts(core: DataFrame, staged: DataFrame) -> DataFrame:
     return judged.join(staged.select("budget_line_id", "fund_source", "kan_source", "source_amount"), "budget_line_id")
 
 
+def with_division_names(df: DataFrame, code: str = "division", name: str = "divisionLabel", names: dict[str, str] = DIVISIONS) -> DataFrame:
+    """The names of division codes by a join with the constant relation of both; '' for unknown codes."""
+    known = F.broadcast(constant(df.sparkSession, list(names.items()), "__code string, __name string"))
+    return df.join(known, F.col(code) == F.col("__code"), "left").withColumn(name, F.coalesce("__name", F.lit(""))).drop("__code", "__name")
+
+
+def cells(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """kind, cell: every cell of the named columns that isn't null, one a row."""
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).alias("cell")) for k, c in columns.items())))
+    return df.select(each.alias("__x")).select("__x.*").where("cell IS NOT NULL")
+
+
+def counted(df: DataFrame, key: str, conditions: dict[str, Column], sums: dict[str, tuple[str, Column]]) -> DataFrame:
+    """key, n, how many rows meet each condition, and sums of a column over those that meet one (0 if none does)."""
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.count_if(c).alias(name) for name, c in conditions.items()),
+        *(F.coalesce(F.sum(F.when(c, F.col(what))), F.lit(0)).alias(name) for name, (what, c) in sums.items()),
+    )
+
+
 def _total() -> Column:
     return (F.sum("source_amount") * UNIT).alias("sum")
 
@@ -123,5 +145,12 @@ def detail(canonical: DataFrame, derived: DataFrame, rules: DataFrame, direction
 
 
 def as_column_table(df: DataFrame) -> dict:
-    """{columns, rows}: a small result for transport, all cells as text."""
-    return {"columns": df.columns, "rows": [[None if v is None else str(v) for v in r] for r in df.toLocalIterator()]}
+    """{columns, rows}: a small result (a preview) for transport, all cells as text, null as ''."""
+    return {"columns": df.columns, "rows": [["" if v is None else str(v) for v in r] for r in df.toLocalIterator()]}
+
+
+def to_rows(table: dict) -> list[dict[str, str]]:
+    """A column table back as one mapping a row; a row of another length is an error."""
+    if any(len(r) != len(table["columns"]) for r in table["rows"]):
+        raise ValueError("a row hasn't as many cells as there are columns")
+    return [dict(zip(table["columns"], r, strict=True)) for r in table["rows"]]

@@ -17,9 +17,11 @@ def multiset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def set_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """keys and ``side``: only in a, or only in b; duplicates don't count."""
-    x, y = a.select(*keys), b.select(*keys)
-    return x.exceptAll(y).distinct().join(y.distinct(), list(keys), "left_anti").withColumn("side", F.lit("a")).unionByName(y.distinct().join(x.distinct(), list(keys), "left_anti").withColumn("side", F.lit("b")))
+    """keys and ``side``: only in a, or only in b; duplicates don't count, and null equals null."""
+    sides = a.select(*keys, F.lit(1).alias("__s")).unionByName(b.select(*keys, F.lit(2).alias("__s")))
+    # Grouping takes null for equal to null, and one aggregation finds both sides.
+    seen = sides.groupBy(*keys).agg(F.bit_or("__s").alias("__s")).where("__s <> 3")
+    return seen.select(*keys, F.when(F.col("__s") == 1, "a").otherwise("b").alias("side"))
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], left: str, right: str) -> DataFrame:
@@ -28,6 +30,17 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], left: str, right:
     return both.where(differs(F.col("__l"), F.col("__r"))).select(*keys, F.col("__l").alias(left), F.col("__r").alias(right if right != left else f"other_{right}"))
 
 
+def covered(expected: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys and ``n``: how many rows there are of each expected or found key, 0 for expected ones without any."""
+    counts = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return expected.join(counts, list(keys), "full_outer").select(*keys, F.coalesce("__n", F.lit(0)).alias("n"))
+
+
+def scoped(df: DataFrame, scope: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are in ``scope``, however often they stand there."""
+    return df.join(scope.select(*keys).distinct(), list(keys), "left_semi")
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
@@ -39,5 +52,4 @@ def dependency_violations(df: DataFrame, determinant: Sequence[str], dependent:
 
 def not_covered(expected: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Expected keys of which there is no row."""
-    counts = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return expected.join(counts, list(keys), "full_outer").select(*keys, F.coalesce("__n", F.lit(0)).alias("n")).where("n = 0")
+    return covered(expected, found, keys).where("n = 0")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions.text import differs
-from tallywright.model import GENERAL_FUND, NO_RULE, UNIT
+from tallywright.model import GENERAL_FUND, INTERFUND_BASIS, NO_RULE, REVENUE_BASIS, UNIT
 
 
 def is_interfund(kan: Column, kou: Column) -> Column:
@@ -33,7 +33,7 @@ def judge_revenue(lines: DataFrame) -> DataFrame:
         F.when(F.col("__in"), "項").otherwise(NO_RULE).alias("cofog_decided_at_level"),
         F.when(F.col("__in"), "revenue-interfund").alias("cofog_rule_id"),
         counterpart(F.col("__in"), F.col("kou_label"), F.col("moku_label")).alias("cofog_counterpart_fund"),
-        F.when(F.col("__in"), "会計間の繰入。歳出側の繰出金と対になるので、連結時に両側を消去する").otherwise("歳入に COFOG の分類の軸は無い。連結の対象でもない").alias("cofog_basis"),
+        F.when(F.col("__in"), INTERFUND_BASIS).otherwise(REVENUE_BASIS).alias("cofog_basis"),
     )
 
 

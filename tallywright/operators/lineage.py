@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rounds after which a closure is taken to be wrong rather than deep.
-MOST_ROUNDS = 1000
+# The stages, in order, and whether they add judgments.
+STAGES = {"ingestion": False, "staging": False, "core": True, "package": False}
+ROLES = {"judgment-rule": True, "external-reference": False}
 
 
 def known_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -16,20 +17,26 @@ def known_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def reachable(edges: DataFrame, start: DataFrame, key: str = "id") -> DataFrame:
-    """All nodes that ``start`` leads to, itself included. Only new nodes are followed, so cycles end; one small frontier a round."""
-    seen = start.select(F.col(key).alias("id")).distinct().checkpoint() if _can_checkpoint(edges) else start.select(F.col(key).alias("id")).distinct()
+    """All nodes that ``start`` leads to, itself included. Only new nodes are followed, so cycles end and any depth is reached;
+    each round's lineage is cut where ``spark.checkpoint.dir`` names a folder, else (tests, local mode) its rows are kept in memory."""
+    seen = _cut(start.select(F.col(key).alias("id")).distinct())
     frontier = seen
-    for _ in range(MOST_ROUNDS):
-        found = frontier.join(edges, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct().join(seen, "id", "left_anti")
-        found = found.checkpoint() if _can_checkpoint(edges) else found.persist()
+    while True:
+        found = _cut(frontier.join(edges, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct().join(seen, "id", "left_anti"))
         if found.isEmpty():
             return seen
-        seen, frontier = seen.unionByName(found), found
-    raise ValueError("the graph is deeper than expected")
+        # A plain union of earlier rounds would double the plan with each round.
+        seen, frontier = _cut(seen.unionByName(found)), found
 
 
-def _can_checkpoint(df: DataFrame) -> bool:
-    return df.sparkSession.sparkContext.getCheckpointDir() is not None
+def _cut(df: DataFrame) -> DataFrame:
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            return df.persist()
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
 
 
 def contains_judgment(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -64,6 +71,44 @@ def stage_of(path: str, stages: dict[str, str]) -> str:
     return stages[max(hits, key=len)]
 
 
+def _entry(key: str, given: dict) -> dict:
+    kind, role = given["resource_type"], (given.get("meta") or {}).get("role")
+    if kind == "source":
+        stage = "ingestion"
+    elif kind == "seed":
+        stage = "core"
+        if role not in ROLES:
+            raise ValueError(f"seed {given['name']} doesn't declare its role")
+    else:
+        stage = stage_of(given.get("path") or "", {f"{s}/": s for s in STAGES})
+    judges = ROLES[role] if kind == "seed" else STAGES[stage]
+    return {"id": key, "label": given["name"], "kind": kind, "stage": stage, "description": (given.get("description") or "").strip(), "introduces_judgment": judges, "artifact": (given.get("config") or {}).get("location")}
+
+
+NODE_DDL = "id string, label string, kind string, stage string, description string, introduces_judgment boolean, artifact string"
+
+
+def topology(spark: SparkSession, manifest: dict) -> tuple[DataFrame, DataFrame]:
+    """(nodes with ``contains_judgment``, edges src, dst) of a manifest's models, sources and seeds, in a fixed order: nodes by
+    stage and label, edges by their ends. A path outside the stages, or a seed without a role, is an error."""
+    given = manifest.get("nodes", {}) | manifest.get("sources", {})
+    kept = {k: v for k, v in given.items() if v["resource_type"] in ("model", "source", "seed")}
+    nodes = spark.createDataFrame([tuple(_entry(k, v).values()) for k, v in kept.items()], NODE_DDL)
+    pairs = [(src, k) for k, v in kept.items() for src in (v.get("depends_on") or {}).get("nodes") or []]
+    edges = known_edges(spark.createDataFrame(pairs, "src string, dst string"), nodes)
+    order = F.array_position(F.array(*(F.lit(s) for s in STAGES)), F.col("stage"))
+    return contains_judgment(nodes, edges).orderBy(order, "label", "id"), edges.orderBy("src", "dst")
+
+
+def tests_of(manifest: dict) -> list[tuple[str, str, str, list[str]]]:
+    """(id, name, description, binds) of a manifest's tests, for ``bind_results``."""
+    tests = ((k, v) for k, v in manifest.get("nodes", {}).items() if v["resource_type"] == "test")
+    return [(k, v["name"], v.get("description") or "", (v.get("depends_on") or {}).get("nodes") or []) for k, v in tests]
+
+
+TEST_DDL = "id string, name string, description string, binds array<string>"
+
+
 def bind_results(tests: DataFrame, results: DataFrame) -> DataFrame:
     """tests (id, name, description, binds) with results (id, status, failures, message): failed ones first. A test without a
     result hasn't run, and so isn't ok."""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywright.functions.text import column_name, is_whole_number
+from tallywright.functions.text import any_within, column_name, is_html, is_whole_number, origin_of
+from tallywright.operators.compare import set_diff
 
 # The words that decide how fine a budget file is.
 STATUTORY = ("款", "項", "目", "節")
@@ -55,10 +56,6 @@ def _texts(values) -> Column:
     return F.array(*(F.lit(v) for v in values))
 
 
-def _any_within(text: Column, words) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
-
-
 def granularity(df: DataFrame, header: str = "header", code: str = "code") -> DataFrame:
     """Adds granularity, basis and hits. Declared activity columns of a jurisdiction count where there are any, else hint words."""
     out = df.withColumn("__cols", F.transform(header, column_name)).withColumn("__all", F.array_join("__cols", "|"))
@@ -66,16 +63,16 @@ def granularity(df: DataFrame, header: str = "header", code: str = "code") -> Da
     for k, names in ACTIVITY_COLUMNS.items():
         declared = F.when(F.col(code) == k, _texts(names)).otherwise(declared)
     out = out.withColumn("__declared", declared)
-    hinted = F.filter("__cols", lambda c: _any_within(c, ACTIVITY_HINTS) & ~_any_within(c, NOT_ACTIVITY))
+    hinted = F.filter("__cols", lambda c: any_within(c, ACTIVITY_HINTS) & ~any_within(c, NOT_ACTIVITY))
     named = F.filter("__cols", lambda c: F.array_contains(F.col("__declared"), c))
     out = out.withColumn("__activity", F.when(F.col("__declared").isNotNull(), named).otherwise(hinted))
     out = out.withColumn("__levels", F.filter(_texts(STATUTORY), lambda x: F.array_contains(F.col("__cols"), x)))
-    amount, item = _any_within(F.col("__all"), AMOUNTS), F.array_contains("__levels", "目")
+    amount, item = any_within(F.col("__all"), AMOUNTS), F.array_contains("__levels", "目")
     found = F.filter(_texts(INDICATORS), lambda x: F.contains(F.col("__all"), x))
     case = [
         ("project", (F.size("__activity") > 0) & item & amount, F.concat("__activity", "__levels")),
         ("account-item", item & amount, F.col("__levels")),
-        ("category", ((F.size("__levels") > 0) | _any_within(F.col("__all"), CATEGORY_AXES)) & amount, F.col("__levels")),
+        ("category", ((F.size("__levels") > 0) | any_within(F.col("__all"), CATEGORY_AXES)) & amount, F.col("__levels")),
         ("indicator", F.size(found) > 0, found),
     ]
     name, hits = F.lit("unchecked"), _texts(())
@@ -99,8 +96,13 @@ def best_files(profiles: DataFrame) -> DataFrame:
 
 def candidates(datasets: DataFrame, registry: DataFrame) -> DataFrame:
     """datasets (organization, title, format, ...): CSV files of registered bodies with a relevant title; adds ``code``."""
-    coded = datasets.withColumn("code", F.regexp_extract("organization", r"^t([0-9]{6})\z", 1)).where("code <> ''")
-    return coded.where((F.upper("format") == "CSV") & _any_within(F.col("title"), RELEVANT_TITLE_WORDS)).join(registry.select("code"), "code", "left_semi")
+    return coded_candidates(datasets, r"^t([0-9]{6})\z", "CSV", RELEVANT_TITLE_WORDS).join(registry.select("code"), "code", "left_semi")
+
+
+def coded_candidates(datasets: DataFrame, pattern: str, kind: str, words) -> DataFrame:
+    """Datasets whose organization holds a code, of one format, with one of the words in the title."""
+    coded = datasets.withColumn("code", F.regexp_extract("organization", pattern, 1)).where("code <> ''")
+    return coded.where((F.upper("format") == kind) & any_within(F.col("title"), words))
 
 
 def bulletin_column(name: Column) -> Column:
@@ -137,6 +139,42 @@ def file_conformance(rows: DataFrame, key: str = "file") -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), bad.alias("invalid")).withColumn("conformance", F.when(F.col("invalid") > 0, "broken").otherwise("conformant"))
 
 
+#: Rows at fault that a verdict shows.
+SHOWN = 3
+
+
+def file_verdicts(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """files (file, header, content: the bytes, null if they couldn't be fetched) and ``bulletin_rows`` with ``row``, to one verdict a
+    file: conformance, rows, columns, missing, extra, the first three rows at fault as ``row_failures``, and ``note``."""
+    judged = conformance(files.select("file", "header", "content").withColumn("header", F.coalesce("header", F.array().cast("array<string>"))))
+    per = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.size("problems") > 0).alias("invalid"))
+    # A rank per file, cut to the first few before the shuffle; never all failures of a file in one array.
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("row"))
+    few = rows.where(F.size("problems") > 0).withColumn("__n", rank).where(F.col("__n") <= SHOWN)
+    first = few.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("row", F.array_join("problems", "/").alias("problems")))).alias("first"))
+    both = judged.join(per, "file", "left").join(first, "file", "left")
+    reasons = [
+        ("can't be fetched", F.col("content").isNull()),
+        ("HTML, not CSV", is_html(F.col("content"))),
+        ("rows at fault", F.coalesce(F.col("invalid") > 0, F.lit(False))),
+    ]
+    note = F.when(F.col("conformance") == "conformant", F.lit(None).cast("string")).otherwise(F.concat(F.lit("missing "), F.array_join("missing", "/"), F.lit("; extra "), F.array_join("extra", "/")))
+    worst = F.col("conformance")
+    for text, holds in reversed(reasons):
+        note, worst = F.when(holds, text).otherwise(note), F.when(holds, "broken").otherwise(worst)
+    readable = F.col("content").isNotNull() & ~is_html(F.col("content"))
+    return both.select(
+        "file",
+        worst.alias("conformance"),
+        F.when(readable, F.coalesce("rows", F.lit(0))).alias("rows"),
+        F.when(readable, F.col("columns")).alias("columns"),
+        F.when(readable, F.col("missing")).alias("missing"),
+        F.when(readable, F.col("extra")).alias("extra"),
+        F.transform("first", lambda x: F.concat(x["row"].cast("string"), F.lit(": "), x["problems"])).alias("row_failures"),
+        note.alias("note"),
+    )
+
+
 def year_compatibility(rows: DataFrame, header: list[str]) -> DataFrame:
     """rows (year, direction, header, fund, amount, raw_line): by year and direction whether the header is as expected, all
     amounts are whole numbers, how many lines are quoted, which funds there are, and the total."""
@@ -151,6 +189,22 @@ def year_compatibility(rows: DataFrame, header: list[str]) -> DataFrame:
     )
 
 
+def year_verdicts(found: DataFrame, expected: list[tuple[int, str]]) -> DataFrame:
+    """``year_compatibility`` against the years and directions that there should be: compatible (null where there is no file), basis."""
+    wanted = found.sparkSession.createDataFrame(expected, "year int, direction string")
+    both = wanted.join(found, ["year", "direction"], "left")
+    reasons = F.array_compact(
+        F.array(
+            F.when(~F.col("same_header"), "other columns than expected"),
+            F.when(~F.col("whole_amounts"), "amounts that aren't whole numbers"),
+            F.when(F.col("quoted_rows") > 0, F.concat(F.col("quoted_rows").cast("string"), F.lit(" rows with quoted cells"))),
+        )
+    )
+    fine = F.concat(F.lit("columns as expected, whole amounts, no quotes, "), F.size("funds").cast("string"), F.lit(" funds"))
+    basis = F.when(F.col("rows").isNull(), "no file").when(F.size(reasons) == 0, fine).otherwise(F.array_join(reasons, "; "))
+    return both.withColumn("compatible", F.when(F.col("rows").isNotNull(), F.size(reasons) == 0)).withColumn("basis", basis)
+
+
 BLOCKING = ("rep-path-disallowed", "rep-render-still-disallowed", "publisher-ai-opt-out", "technical-block", "no-source")
 UNVERIFIED = ("copyright-unverified", "terms-unverified")
 
@@ -179,8 +233,7 @@ def gate_errors(gates: DataFrame, known_constraints: list[str], policy_version:
 
 def registry_errors(gates: DataFrame, registry: DataFrame) -> DataFrame:
     """Codes that only one of the two has."""
-    a, b = gates.select("code").distinct(), registry.select("code").distinct()
-    return a.join(b, "code", "left_anti").withColumn("error", F.lit("not in the registry")).unionByName(b.join(a, "code", "left_anti").withColumn("error", F.lit("not in the gates")))
+    return set_diff(gates, registry, ["code"]).select("code", F.when(F.col("side") == "a", "not in the registry").otherwise("not in the gates").alias("error"))
 
 
 def fetch_targets(gates: DataFrame) -> DataFrame:
@@ -189,8 +242,15 @@ def fetch_targets(gates: DataFrame) -> DataFrame:
 
 def by_origin(gates: DataFrame, url: str = "transcript_url") -> DataFrame:
     """origin, codes: one robots request serves all bodies of an origin."""
-    origin = F.concat(F.parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.parse_url(url, F.lit("AUTHORITY")))
-    return gates.where(F.col(url).isNotNull()).groupBy(origin.alias("origin")).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    return gates.where(F.col(url).isNotNull()).groupBy(origin_of(F.col(url)).alias("origin")).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+
+
+def robots(answers: DataFrame) -> DataFrame:
+    """answers (origin, status, content_type, content) with ``found`` and ``rules``: the text of a good answer that isn't HTML. A page
+    sent in place of the file means that there is none."""
+    html = is_html(F.col("content")) | F.coalesce(F.contains("content_type", F.lit("text/html")), F.lit(False))
+    found = F.coalesce(F.col("status").between(200, 299) & ~html, F.lit(False))
+    return answers.withColumn("found", found).withColumn("rules", F.when(found, F.decode("content", "UTF-8")))
 
 
 def expand_ranges(df: DataFrame, column: str) -> DataFrame:

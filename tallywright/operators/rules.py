@@ -3,7 +3,9 @@
 A rule has conditions on named columns; '' or null is "don't care". Three kinds: equal, one of a '|'-list, and
 LIKE '%x%'. Two plans give the same rows:
 
-* ``classify_join``: the rules, known to be few, broadcast against the lines, then the least priority by line;
+* ``classify_join``: for rule tables of any size. Only the distinct kinds of lines (their values under conditions) meet the rules: rules
+  are grouped by which columns they constrain, and each group is hash-joined on those with fixed alternatives; what LIKE
+  asks is checked on the joined rows. The first rule of each kind is then joined back to the lines;
 * ``classify_compiled``: the rules become one CASE expression when the table is small enough to be read by the
   driver. Map-only: no join, no shuffle. This is the plan for large inputs.
 """
@@ -16,12 +18,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywright.functions.text import in_list, like_within
-from tallywright.model import NO_RULE
+from tallywright.functions.text import like_within
+from tallywright.model import NO_RULE, NO_RULE_BASIS
 
-#: Rules that may be compiled; beyond, the join is used.
-MOST_RULES = 500
-NO_RULE_BASIS = "どの規則にも当たらなかった。捨てずに分類不能として残す"
+#: Rules that may be compiled; beyond, the join is used. Bytes of rules that may be broadcast.
+MOST_RULES, MOST_BYTES = 500, 8 << 20
 
 
 @dataclass(frozen=True)
@@ -65,25 +66,55 @@ def normalised(rules: DataFrame, book: RuleBook) -> DataFrame:
     return out
 
 
-def _holds(c: Condition, line: Column, wanted: Column, mode: Column | None) -> Column:
-    if c.kind == "list":
-        hit = in_list(line, wanted)
-    elif c.kind == "mode":
-        hit = F.when(mode == "contains", like_within(line, wanted)).otherwise(in_list(line, wanted))
-    else:
-        hit = line == wanted
-    return (wanted == "") | hit
+def _alternatives(c: Condition) -> Column:
+    """The values that meet a condition: null for any, [] where only LIKE can say."""
+    wanted = F.col(c.rule)
+    listed = F.split(wanted, "[|]") if c.kind in ("list", "mode") else F.array(wanted)
+    if c.kind == "mode":
+        listed = F.when(F.col(c.mode) == "contains", F.array().cast("array<string>")).otherwise(listed)
+    return F.when(wanted != "", listed)
+
+
+def _small(rules: DataFrame) -> bool:
+    size = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) * 4 + 16 for c in rules.columns), F.lit(0))
+    return (rules.agg(F.sum(size).alias("n")).first()["n"] or 0) <= MOST_BYTES
+
+
+def with_first(lines: DataFrame, rules: DataFrame, book: RuleBook) -> DataFrame:
+    """``lines`` with a column ``rule``: the struct of the first rule's key and outcomes, null where none holds."""
+    names = list(dict.fromkeys(c.line for c in book.conditions))
+    kinds = lines.select(*(F.coalesce(n, F.lit("\0")).alias(f"__k_{n}") for n in names)).distinct()
+    held = normalised(rules, book)
+    shaped = held.select(*(F.col(c).alias(f"__{c}") for c in held.columns), *(_alternatives(c).alias(f"__a{i}") for i, c in enumerate(book.conditions)))
+    fixed = F.concat(*(F.when(F.size(f"__a{i}") > 0, "1").otherwise("0") for i in range(len(book.conditions))))
+    shaped = shaped.withColumn("__shape", fixed)
+    shapes = sorted(r[0] for r in shaped.select("__shape").distinct().collect())  # at most 2 to the number of conditions
+    small = _small(rules)
+    found = None
+    for shape in shapes:
+        part, equal, other = shaped.where(F.col("__shape") == shape), F.lit(True), F.lit(True)
+        for i, c in enumerate(book.conditions):
+            line = F.col(f"__k_{c.line}")
+            if shape[i] == "1":
+                part = part.withColumn(f"__v{i}", F.explode(F.array_distinct(f"__a{i}")))
+                equal = equal & (line == F.col(f"__v{i}"))
+            else:
+                other = other & ((F.col(f"__{c.rule}") == "") | ((line != "\0") & like_within(line, F.col(f"__{c.rule}"))))
+        hit = kinds.join(F.broadcast(part) if small else part, equal & other)
+        hit = hit.select(*(f"__k_{n}" for n in names), F.struct(F.col(f"__{book.order}").alias("o"), *(F.col(f"__{c}").alias(c) for c in (book.key, *book.outcomes))).alias("r"))
+        found = hit if found is None else found.unionByName(hit)
+    if found is None:
+        found = kinds.withColumn("r", F.lit(None).cast("struct<o:int," + ",".join(f"{c}:string" for c in (book.key, *book.outcomes)) + ">")).where("false")
+    first = found.groupBy(*(f"__k_{n}" for n in names)).agg(F.min_by("r", "r.o").alias("rule"))
+    met = F.lit(True)
+    for n in names:
+        met = met & (F.coalesce(F.col(n), F.lit("\0")) == F.col(f"__k_{n}"))
+    return lines.join(first, met, "left").drop(*(f"__k_{n}" for n in names))
 
 
 def match_join(lines: DataFrame, rules: DataFrame, book: RuleBook, line_key: Sequence[str]) -> DataFrame:
     """Each line's first rule: line_key, the rule's key and outcomes. Lines without a rule are absent."""
-    r = F.broadcast(normalised(rules, book).select(*(F.col(c).alias(f"__{c}") for c in rules.columns)))
-    condition = F.lit(True)
-    for c in book.conditions:
-        condition = condition & _holds(c, F.col(c.line), F.col(f"__{c.rule}"), F.col(f"__{c.mode}") if c.mode else None)
-    first = Window.partitionBy(*line_key).orderBy(f"__{book.order}")
-    hit = lines.join(r, condition).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return hit.select(*line_key, *(F.col(f"__{c}").alias(c) for c in (book.key, *book.outcomes)))
+    return with_first(lines, rules, book).where("rule IS NOT NULL").select(*line_key, *(F.col(f"rule.{c}").alias(c) for c in (book.key, *book.outcomes)))
 
 
 def first_match(rules: list[dict], book: RuleBook) -> Column:
@@ -145,8 +176,7 @@ def classify_compiled(lines: DataFrame, rules: DataFrame, book: RuleBook = BUDGE
 
 
 def classify_join(lines: DataFrame, rules: DataFrame, book: RuleBook = BUDGET_RULES) -> DataFrame:
-    hit = match_join(lines, rules, book, ["budget_line_id"]).select(F.col("budget_line_id").alias("__id"), *(F.col(c).alias(f"__{c}") for c in (book.key, *book.outcomes)))
-    return _judged(lines.join(hit, F.col("budget_line_id") == F.col("__id"), "left"), "__")
+    return _judged(with_first(lines, rules, book), "rule.")
 
 
 def classify(lines: DataFrame, rules: DataFrame, book: RuleBook = BUDGET_RULES) -> DataFrame:
