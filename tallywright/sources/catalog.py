@@ -1,37 +1,72 @@
-"""The registry of sources (TOML) and the resolver of catalogue entries (JSON). Requests over the network are out of scope."""
+"""The registry of sources (TOML) and the resolver of catalogue entries (JSON). Requests over the network are out of scope: where one
+is needed, a function is passed in."""
 
 from __future__ import annotations
 
 import tomllib
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, fields
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Entries of a catalogue asked for at once.
+PAGE = 300
+
+
+@dataclass(frozen=True)
+class Catalog:
+    """Where datasets are searched, and what an organization's name has before its code."""
+
+    endpoint: str
+    org_prefix: str
+
+
+@dataclass(frozen=True)
+class Resource:
+    direction: str
+    resource_name: str
+
 
 @dataclass(frozen=True)
 class Source:
     key: str
-    catalog: str
-    organization: str
+    catalog: Catalog
+    jurisdiction_code: str
+    jurisdiction_name: str
+    fiscal_year: int
+    fiscal_year_label: str
+    phase_id: str
+    phase_label: str
     dataset_title: str
-    resource_name: str
     encoding: str
+    redistribute: str
+    redistribute_basis: str
     license_id: str
     attribution: str
-    redistribute: bool
+    landing_page: str
+    resources: tuple[Resource, ...]
+
+    @property
+    def organization(self) -> str:
+        return self.catalog.org_prefix + self.jurisdiction_code
 
 
 def load_sources(path: str) -> dict[str, Source]:
-    """[catalogs.<name>] tables, and [[sources]] with ``key`` (code:year:direction) and ``catalog``."""
-    spec = tomllib.loads(Path(path).read_text())
-    catalogs = spec.get("catalogs", {})
+    """Tables [catalog.<name>], and one table a source, named ``code:year``, with its resources as an array of tables."""
+    spec = tomllib.loads(Path(path).read_text(encoding="utf-8"))
+    catalogs = {name: Catalog(**c) for name, c in spec.pop("catalog", {}).items()}
+    known = {f.name for f in fields(Source)} - {"key"}
     found = {}
-    for entry in spec.get("sources", []):
+    for key, entry in spec.items():
+        if strange := sorted(entry.keys() ^ known):
+            raise ValueError(f"{key}: missing or unknown entries: {', '.join(strange)}")
         if entry["catalog"] not in catalogs:
-            raise KeyError(f"{entry['key']}: catalog {entry['catalog']} isn't defined")
-        found[entry["key"]] = Source(**{f: entry.get(f, False if f == "redistribute" else "") for f in Source.__dataclass_fields__})
+            raise KeyError(f"{key}: catalog {entry['catalog']} isn't defined")
+        if not entry["resources"]:
+            raise ValueError(f"{key}: no resource")
+        found[key] = Source(key, **entry | {"catalog": catalogs[entry["catalog"]], "resources": tuple(Resource(**r) for r in entry["resources"])})
     if not found:
         raise ValueError(f"{path} defines no source")
     return found
@@ -44,10 +79,45 @@ def resolve(sources: dict[str, Source], key: str) -> Source:
 
 
 def may_publish(source: Source) -> bool:
-    return source.redistribute and source.license_id != ""
+    """Only a decision that says so; one still under review, like one against it, does not."""
+    return source.redistribute == "allow"
+
+
+def check_publishable(source: Source, resource: Resource) -> None:
+    """An error unless the source may be given on and the resource's name states the year, which nothing else in the file does."""
+    if not may_publish(source):
+        raise PermissionError(f"{source.key}: redistribution is {source.redistribute!r}, not allowed")
+    if source.fiscal_year_label not in resource.resource_name:
+        raise ValueError(f"{source.key}: {resource.resource_name!r} doesn't name the year {source.fiscal_year_label!r}")
+
+
+def all_results(fetch: Callable[[int], dict]) -> Iterator[dict]:
+    """The entries of all pages; ``fetch`` gets the first entry's position and gives ``count`` and ``results``. A catalogue that
+    stops before its count is an error, as what is missing would look like what isn't there."""
+    start = 0
+    while True:
+        page = fetch(start)
+        yield from page["results"]
+        start += len(page["results"])
+        if start >= page["count"]:
+            return
+        if not page["results"]:
+            raise ValueError(f"the catalogue gave {start} of {page['count']} entries")
 
 
 def resolve_resource(packages: DataFrame, organization: str, title: str, name: str) -> DataFrame:
     """packages (organization, title, resources array of struct(name, url)): the resources of that name, in catalogue order."""
     own = packages.where((F.col("organization") == organization) & (F.col("title") == title))
     return own.select(F.posexplode("resources").alias("position", "r")).where(F.col("r.name") == name).select("position", "r.*").orderBy("position")
+
+
+def resource_url(packages: DataFrame, organization: str, title: str, name: str) -> str:
+    """The address of the first of them; an error that says what there is instead if there is none."""
+    own = packages.where((F.col("organization") == organization) & (F.col("title") == title))
+    if own.isEmpty():
+        raise LookupError(f"{organization} has no dataset {title!r}")
+    first = resolve_resource(packages, organization, title, name).first()
+    if first is None:
+        there = [r[0] for r in own.select(F.explode("resources.name")).limit(20).collect()]
+        raise LookupError(f"{title!r} has no resource {name!r} but {there}")
+    return first["url"]
