@@ -1,16 +1,18 @@
-"""python -m tallywright run|checks|sql ...: the engine from the command line."""
+"""python -m tallywright run|checks|sql|survey|granularity|bulletins|gates ...: the engine from the command line."""
 
 from __future__ import annotations
 
 import argparse
 
-from tallywright.model import RULES_DDL
-from tallywright.plans import checks, pipeline
+from tallywright.model import EXPENDITURE, LAYOUTS, REVENUE, RULES_DDL
+from tallywright.operators import profile
+from tallywright.plans import checks, pipeline, surveys
 from tallywright.session import build_session
-from tallywright.sources.tables import read_csv
+from tallywright.sources.catalog import load_sources
+from tallywright.sources.tables import read_csv, write_json
 
 
-def main(argv: list[str] | None = None) -> int:
+def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tallywright")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, what in (("run", "build, check, and write packages and report"), ("checks", "build and check"), ("sql", "build and run a query")):
@@ -18,17 +20,58 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--raw", required=True)
         p.add_argument("--rules", required=True, help="CSV of the rule table")
         p.add_argument("--jurisdiction", required=True)
-        p.add_argument("--master")
         if name == "run":
             p.add_argument("--out", required=True)
-            p.add_argument("--created", required=True)
+            p.add_argument("--created", help="if not the newest source's time of fetching")
+            p.add_argument("--sources", help="TOML registry of sources, for the packages' descriptors")
         if name == "sql":
             p.add_argument("query")
-    a = parser.parse_args(argv)
+    for name, what in (("survey", "whether files of other years can be taken"), ("granularity", "how fine files are"), ("bulletins", "whether files keep to the column standard")):
+        p = commands.add_parser(name, help=what)
+        p.add_argument("--files", required=True, help="folder of the files")
+        if name == "survey":
+            p.add_argument("--jurisdiction", required=True)
+            p.add_argument("--years", required=True, help="first-last")
+    p = commands.add_parser("gates", help="whether gates and registry are valid and agree")
+    p.add_argument("--gates", required=True)
+    p.add_argument("--registry", required=True)
+    for p in commands.choices.values():
+        p.add_argument("--master")
+        p.add_argument("--write", help="folder for the result as JSON lines")
+    return parser
+
+
+def _show(results: dict, folder: str | None) -> None:
+    for name, (df, order) in results.items():
+        df.show(1000, truncate=False)
+        if folder:
+            write_json(df, f"{folder}/{name}", order)
+
+
+def main(argv: list[str] | None = None) -> int:
+    a = _parser().parse_args(argv)
     spark = build_session(a.master)
+    if a.command == "survey":
+        first, last = (int(x) for x in a.years.split("-"))
+        headers = {d: list(LAYOUTS[a.jurisdiction].columns[d]) for d in (EXPENDITURE, REVENUE)}
+        _show({"years": (surveys.years(spark, a.files, headers, list(range(first, last + 1))), ["year", "direction"])}, a.write)
+        return 0
+    if a.command == "granularity":
+        found = surveys.granularity(spark, a.files)
+        best = profile.best_files(found.withColumn("position", found["file"]))
+        _show({"granularity": (found, ["file"]), "best": (best, ["code"])}, a.write)
+        return 0
+    if a.command == "bulletins":
+        _show({"bulletins": (surveys.bulletins(spark, a.files), ["file"])}, a.write)
+        return 0
+    if a.command == "gates":
+        found = surveys.gates(spark, a.gates, a.registry)
+        _show({"errors": (found["errors"], ["code", "error"]), "counts": (found["counts"], ["kind", "cell"]), "targets": (found["targets"], ["code"])}, a.write)
+        return int(not found["errors"].isEmpty())
     rules = read_csv(spark, a.rules, RULES_DDL, blank_is_null=True)
     if a.command == "run":
-        results = pipeline.run(spark, a.raw, rules, a.jurisdiction, a.out, a.created)
+        sources = [s for s in load_sources(a.sources).values() if s.jurisdiction_code == a.jurisdiction] if a.sources else None
+        results = pipeline.run(spark, a.raw, rules, a.jurisdiction, a.out, a.created, sources)
     else:
         engine = pipeline.Engine(spark, a.raw, rules, a.jurisdiction).build()
         if a.command == "sql":

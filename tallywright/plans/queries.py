@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.functions import text
+from tallywright.model import PARTITIONS
 from tallywright.operators import aggregate, compare, consolidate, lineage, profile, rules
+from tallywright.sources import raw
 from tallywright.sources import tables as sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,7 +112,10 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map-only after the join with ``part``: the rules are compiled to one expression."""
-    hit = rules.match_compiled(_lines(spark, sf_dir), spark.createDataFrame(RULES, RULE_COLUMNS), BOOK)
+    return _outcomes(rules.match_compiled(_lines(spark, sf_dir), spark.createDataFrame(RULES, RULE_COLUMNS), BOOK))
+
+
+def _outcomes(hit: DataFrame) -> DataFrame:
     return hit.select(
         "l_orderkey",
         "l_linenumber",
@@ -130,10 +135,7 @@ def rule_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {CLASSIFIED_SQL} SELECT * FROM classified")
 def rule_first_match_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by the join plan, for rule tables of any size: rules meet the distinct kinds of lines, not the lines."""
-    lines, kind = _lines(spark, sf_dir), ["p_brand", "p_type", "l_returnflag"]
-    hit = rules.match_join(lines.select(*kind).distinct(), spark.createDataFrame(RULES, RULE_COLUMNS), BOOK, kind)
-    out = lines.join(hit, kind, "left")
-    return out.select("l_orderkey", "l_linenumber", "cents", F.coalesce("status", F.lit("unclassifiable")).alias("status"), F.coalesce("division", F.lit("")).alias("division"), "rule_id", F.nullif(F.col("counterpart"), F.lit("")).alias("counterpart"))
+    return _outcomes(rules.with_first(_lines(spark, sf_dir), spark.createDataFrame(RULES, RULE_COLUMNS), BOOK))
 
 
 @query(f"WITH {CLASSIFIED_SQL} SELECT status, division, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM classified GROUP BY ALL")
@@ -161,20 +163,26 @@ FROM classified c LEFT JOIN rules r ON r.rule_id = c.rule_id LEFT JOIN names ON
 def classified_with_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = _classified(spark, sf_dir).groupBy("rule_id", "division").agg(F.sum("cents").alias("cents"))
     reasons = F.broadcast(spark.createDataFrame(RULES, RULE_COLUMNS).select("rule_id", F.col("counterpart").alias("rule_counterpart")))
-    return sums.join(reasons, "rule_id", "left").select("rule_id", "rule_counterpart", text.labelled(F.col("division"), DIVISION_NAMES).alias("division_name"), "cents")
+    return aggregate.with_division_names(sums.join(reasons, "rule_id", "left"), "division", "division_name", DIVISION_NAMES).select("rule_id", "rule_counterpart", "division_name", "cents")
 
 
 # --- transfers -----------------------------------------------------------------------------------------------------
 
 
-@query("""
-SELECT o_orderkey, flag AS is_interfund, CASE WHEN flag THEN 'eliminated' ELSE 'retained' END AS consolidation,
-  CASE WHEN NOT flag THEN NULL WHEN o_orderstatus = 'O' THEN regexp_replace(o_orderpriority, '[A-Z]+$', '') ELSE 'general' END AS counterpart
-FROM (SELECT *, o_orderpriority LIKE '%URGENT%' AND o_orderstatus NOT LIKE '%F%' AS flag FROM orders)""")
+TRANSFERS = """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '繰入金' WHEN '2' THEN '繰入金等' WHEN '3' THEN '市税' ELSE NULL END AS kan_label,
+  CASE o_orderstatus WHEN 'O' THEN '特別会計繰入金' WHEN 'F' THEN '基金繰入金' ELSE '他会計繰入金' END AS kou_label,
+  'fund' || CAST(o_custkey % 9 AS STRING) || '繰入金' AS moku_label"""
+TRANSFERS_LIST = TRANSFERS.split(",\n")
+
+
+@query(f"""
+WITH x AS (SELECT o_orderkey, {TRANSFERS} FROM orders), y AS (SELECT *, coalesce(kan_label LIKE '%繰入金%' AND kou_label NOT LIKE '%基金繰入金%', false) AS flag FROM x)
+SELECT o_orderkey, CASE WHEN flag THEN 'eliminated' ELSE 'retained' END AS consolidation, CASE WHEN flag THEN '項' ELSE '（規則なし）' END AS level,
+  CASE WHEN flag THEN 'revenue-interfund' END AS rule_id, CASE WHEN NOT flag THEN NULL WHEN kou_label = '特別会計繰入金' THEN regexp_replace(moku_label, '繰入金$', '') ELSE '一般会計' END AS counterpart FROM y""")
 def interfund_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = F.coalesce(F.col("o_orderpriority").contains("URGENT") & ~F.col("o_orderstatus").contains("F"), F.lit(False))
-    sender = F.when(F.col("o_orderstatus") == "O", F.regexp_replace("o_orderpriority", r"[A-Z]+\z", "")).otherwise("general")
-    return table(spark, sf_dir, "orders").select("o_orderkey", flag.alias("is_interfund"), F.when(flag, "eliminated").otherwise("retained").alias("consolidation"), F.when(flag, sender).alias("counterpart"))
+    lines = table(spark, sf_dir, "orders").selectExpr("o_orderkey", *TRANSFERS_LIST, "'x' AS jurisdiction_code", "2024 AS fiscal_year", "'revenue' AS direction", "CAST(o_orderkey AS STRING) AS budget_line_id", "o_orderkey AS source_row")
+    judged = consolidate.judge_revenue(lines)
+    return judged.select(F.col("source_row").alias("o_orderkey"), F.col("cofog_consolidation").alias("consolidation"), F.col("cofog_decided_at_level").alias("level"), F.col("cofog_rule_id").alias("rule_id"), F.col("cofog_counterpart_fund").alias("counterpart"))
 
 
 PAIRS_SQL = f"""
@@ -225,13 +233,13 @@ def multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT k, 'a' AS side FROM (SELECT o_orderkey AS k FROM orders EXCEPT SELECT l_orderkey FROM lineitem WHERE l_quantity > 10)
-UNION ALL SELECT k, 'b' FROM (SELECT l_orderkey AS k FROM lineitem WHERE l_quantity > 10 EXCEPT SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')""")
+WITH a AS (SELECT nullif(o_orderkey, 7) AS k, o_orderstatus AS s FROM orders), b AS (SELECT l_orderkey AS k, 'O' AS s FROM lineitem WHERE l_quantity > 10)
+SELECT k, s, 'a' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT k, s, 'b' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def except_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").alias("k"))
-    a = orders.select(F.col("o_orderkey").alias("k")).join(items, "k", "left_anti").distinct().withColumn("side", F.lit("a"))
-    b = items.join(orders.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("k")), "k", "left_anti").distinct().withColumn("side", F.lit("b"))
-    return a.unionByName(b)
+    k = F.nullif(F.col("o_orderkey"), F.lit(7)).alias("k")
+    orders = table(spark, sf_dir, "orders").select(k, F.col("o_orderstatus").alias("s"))
+    items = table(spark, sf_dir, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").alias("k"), F.lit("O").alias("s"))
+    return compare.set_diff(orders, items, ["k", "s"])
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
@@ -264,21 +272,20 @@ SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE l_quantity > 25) AS n
   (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS open_orders
 FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM region WHERE r_name = 'NOWHERE') GROUP BY 1 HAVING count(*) > (SELECT count(*) FROM nation)""")
 def filtered_aggs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    for name in ("lineitem", "orders", "region", "nation"):
-        table(spark, sf_dir, name).createOrReplaceTempView(f"tw_{name}")
+    lines = table(spark, sf_dir, "lineitem").withColumn("cents", cents("l_extendedprice"))
+    per = aggregate.counted(lines, "l_returnflag", {"n_large": F.col("l_quantity") > 25}, {"open_cents": ("cents", F.col("l_linestatus") == "O")})
+    for name, df in {"per": per, "orders": table(spark, sf_dir, "orders"), "region": table(spark, sf_dir, "region"), "nation": table(spark, sf_dir, "nation")}.items():
+        df.createOrReplaceTempView(f"tw_{name}")
     return spark.sql("""
-SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE l_quantity > 25) AS n_large,
-  coalesce(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) FILTER (WHERE l_linestatus = 'O'), 0) AS open_cents,
-  (SELECT count(*) FROM tw_orders WHERE o_orderstatus = 'O') AS open_orders
-FROM tw_lineitem WHERE NOT EXISTS (SELECT 1 FROM tw_region WHERE r_name = 'NOWHERE') GROUP BY 1 HAVING count(*) > (SELECT count(*) FROM tw_nation)""")
+SELECT *, (SELECT count(*) FROM tw_orders WHERE o_orderstatus = 'O') AS open_orders FROM tw_per
+WHERE n > (SELECT count(*) FROM tw_nation) AND NOT EXISTS (SELECT 1 FROM tw_region WHERE r_name = 'NOWHERE')""")
 
 
 @query("""
 SELECT kind, count(*) AS n, count(*) FILTER (WHERE trim(cell) <> cell OR cell LIKE '% %') AS n_blank, count(DISTINCT cell) AS n_distinct
 FROM (SELECT unnest(['name', 'type', 'brand']) AS kind, unnest([p_name, p_type, p_brand]) AS cell FROM part) WHERE cell IS NOT NULL GROUP BY 1""")
 def explode_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"p_{k}").alias("cell")) for k in ("name", "type", "brand"))))
-    flat = table(spark, sf_dir, "part").select(cells.alias("x")).select("x.*").where("cell IS NOT NULL")
+    flat = aggregate.cells(table(spark, sf_dir, "part"), {k: f"p_{k}" for k in ("name", "type", "brand")})
     return flat.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.trim("cell") != F.col("cell")) | F.col("cell").contains(" ")).alias("n_blank"), F.countDistinct("cell").alias("n_distinct"))
 
 
@@ -287,8 +294,7 @@ WITH scope AS (SELECT DISTINCT year(o_orderdate) AS y, o_orderstatus AS s FROM o
 SELECT y, s, count(*) AS n, CAST(sum({CENTS.format('o_totalprice')}) AS BIGINT) AS cents FROM orders JOIN scope ON year(o_orderdate) = y AND o_orderstatus = s GROUP BY 1, 2""")
 def scope_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("bigint").alias("y"), F.col("o_orderstatus").alias("s"), "o_totalprice")
-    scope = orders.where("o_totalprice > 400000").select("y", "s").distinct()
-    return orders.join(scope, ["y", "s"], "left_semi").groupBy("y", "s").agg(F.count(F.lit(1)).alias("n"), F.sum(cents("o_totalprice")).alias("cents"))
+    return compare.scoped(orders, orders.where("o_totalprice > 400000"), ["y", "s"]).groupBy("y", "s").agg(F.count(F.lit(1)).alias("n"), F.sum(cents("o_totalprice")).alias("cents"))
 
 
 @query("""
@@ -296,8 +302,7 @@ WITH expected(status) AS (VALUES ('F'), ('O'), ('P'), ('X')), found AS (SELECT o
 SELECT status, coalesce(n, 0) AS n FROM expected FULL JOIN found USING (status)""")
 def count_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = spark.createDataFrame([(x,) for x in "FOPX"], "status string")
-    found = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"))
-    return expected.join(found, "status", "full_outer").select("status", F.coalesce("n", F.lit(0)).alias("n"))
+    return compare.covered(expected, table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "status"), ["status"])
 
 
 # --- browsing ------------------------------------------------------------------------------------------------------
@@ -306,13 +311,15 @@ def count_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH x AS (SELECT r_name, n_name, c_mktsegment, o_orderstatus, {CENTS.format('o_totalprice')} AS cents, o_orderpriority
   FROM orders JOIN {_PLACES.replace('customer JOIN', 'customer ON o_custkey = c_custkey JOIN')} WHERE r_name = 'ASIA' AND (lower(r_name) LIKE '%a%' OR lower(n_name) LIKE '%a%' OR lower(c_mktsegment) LIKE '%a%'))
-SELECT n_name AS name, count(*) AS count, CAST(sum(cents) AS BIGINT) AS sum, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS statuses FROM x GROUP BY 1""")
+SELECT a.*, b.by_division FROM (SELECT n_name AS name, count(*) AS count, CAST(sum(cents) AS BIGINT) AS sum, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS statuses FROM x GROUP BY 1) a
+JOIN (SELECT n_name AS name, string_agg(o_orderpriority || '=' || CAST(c AS VARCHAR), ',' ORDER BY o_orderpriority) AS by_division FROM (SELECT n_name, o_orderpriority, CAST(sum(cents) AS BIGINT) AS c FROM x GROUP BY 1, 2) GROUP BY 1) b USING (name)""")
 def drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     people = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name", "n_name", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").join(people, F.col("o_custkey") == F.col("c_custkey")).withColumn("cents", cents("o_totalprice"))
     out = aggregate.drilldown(orders, ["r_name", "n_name", "c_mktsegment"], ["ASIA"], "A", "cents", "o_orderpriority", "o_orderstatus")
-    return out.select("name", "count", "sum", F.array_join("statuses", ",").alias("statuses"))
+    by = F.transform(F.map_entries("by_division"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return out.select("name", "count", "sum", F.array_join("statuses", ",").alias("statuses"), F.array_join(by, ",").alias("by_division"))
 
 
 @query(f"""
@@ -383,19 +390,24 @@ def header_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, url LIKE 'https://%' AS secure
-FROM pages WHERE regexp_matches(url, '^https?://[^/]+\\.example\\.(net|org)/') AND lower(html) LIKE '%<title>%' AND (html LIKE '%the%' OR html LIKE '%der%')""")
+WITH d AS (SELECT page_id, 't' || lpad(CAST(page_id % 50 AS VARCHAR), 6, '0') AS org, CASE page_id % 3 WHEN 0 THEN 'csv' WHEN 1 THEN 'CSV' ELSE 'pdf' END AS format,
+  CASE page_id % 4 WHEN 0 THEN '令和予算書' WHEN 1 THEN '決算' WHEN 2 THEN '地図' ELSE '財政と歳出' END || CAST(page_id AS VARCHAR) AS title FROM pages)
+SELECT page_id, substr(org, 2) AS code FROM d WHERE upper(format) = 'CSV' AND title NOT LIKE '%地図%' AND CAST(substr(org, 2) AS INT) < 30""")
 def candidate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").where(F.col("url").rlike(r"^https?://[^/]+\.example\.(net|org)/"))
-    kept = pages.where(F.lower("html").contains("<title>") & (F.col("html").contains("the") | F.col("html").contains("der")))
-    return kept.select("page_id", F.regexp_extract("url", r"^https?://([^/?#]*)", 1).alias("host"), F.col("url").startswith("https://").alias("secure"))
+    k = F.col("page_id")
+    formats = F.when(k % 3 == 0, "csv").when(k % 3 == 1, "CSV").otherwise("pdf")
+    titles = F.when(k % 4 == 0, "令和予算書").when(k % 4 == 1, "決算").when(k % 4 == 2, "地図").otherwise("財政と歳出")
+    org = F.concat(F.lit("t"), F.lpad((k % 50).cast("string"), 6, "0"))
+    datasets = table(spark, sf_dir, "pages").select("page_id", org.alias("organization"), formats.alias("format"), F.concat(titles, k.cast("string")).alias("title"))
+    registry = spark.range(30).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("code"))
+    return profile.candidates(datasets, registry).select("page_id", "code")
 
 
 @query("""
-SELECT regexp_extract(url, '^(https?://[^/?#]*)', 1) AS origin, count(*) AS n FROM pages GROUP BY 1""")
+SELECT regexp_extract(url, '^(https?://[^/?#]*)', 1) AS origin, string_agg(CAST(page_id AS VARCHAR), ',' ORDER BY CAST(page_id AS VARCHAR)) AS codes FROM pages GROUP BY 1""")
 def origins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.concat(F.parse_url("url", F.lit("PROTOCOL")), F.lit("://"), F.parse_url("url", F.lit("AUTHORITY")))
-    return table(spark, sf_dir, "pages").groupBy(found.alias("origin")).agg(F.count(F.lit(1)).alias("n"))
+    pages = table(spark, sf_dir, "pages").withColumn("code", F.col("page_id").cast("string"))
+    return profile.by_origin(pages, "url").select("origin", F.array_join("codes", ",").alias("codes"))
 
 
 # --- graph ---------------------------------------------------------------------------------------------------------
@@ -428,7 +440,11 @@ def _shared(spark: SparkSession, name: str) -> str:
     import tempfile
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tallywright-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+        root = "file://" + tempfile.mkdtemp(prefix="tallywright-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -441,10 +457,11 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_csv(spark, path, given.schema)
 
 
-@query("SELECT o_orderkey, o_orderstatus AS status, o_custkey FROM orders WHERE o_orderstatus = 'O'")
+@query("SELECT o_orderkey AS source_row, o_orderstatus AS jurisdiction, CAST(year(o_orderdate) AS VARCHAR) AS year, 'approved' AS phase, CASE WHEN o_custkey % 2 = 0 THEN 'expenditure' ELSE 'revenue' END AS direction, o_orderpriority AS cell FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 2 = 0")
 def hive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written by partition and read back with a filter that prunes directories."""
+    """Written by partition and read back with filters that prune directories."""
     path = _shared(spark, "hive")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
-    orders.repartition("status").sortWithinPartitions("status").write.partitionBy("status").parquet(path)
-    return spark.read.schema(orders.schema).parquet(path).where("status = 'O'").select("o_orderkey", "status", "o_custkey")
+    side = F.when(F.col("o_custkey") % 2 == 0, "expenditure").otherwise("revenue")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("source_row"), F.col("o_orderpriority").alias("cell"), F.col("o_orderstatus").alias("jurisdiction"), F.year("o_orderdate").cast("string").alias("year"), F.lit("approved").alias("phase"), side.alias("direction"))
+    orders.repartition(*PARTITIONS).sortWithinPartitions("source_row").write.partitionBy(*PARTITIONS).parquet(path)
+    return raw.read_raw(spark, path, orders.select("source_row", "cell").schema, jurisdiction="O", direction="expenditure")
