@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywright.model import EXPENDITURE, PARTITIONS, REVENUE
-from tallywright.operators import aggregate, consolidate, lineage, rules
+from tallywright.operators import aggregate, compare, consolidate, lineage, rules
 from tallywright.operators.staging import canonical, stage
 from tallywright.plans import checks, package
 from tallywright.plans.pipeline import Engine, run
@@ -183,8 +183,46 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert engine.row_counts().where("node = 'core_revenue'").first().rows == 6
     plan = raw_source.read_raw(spark, root + "_all", budget.LAYOUT.raw_schema(EXPENDITURE), direction=EXPENDITURE)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(direction" in plan
-    with pytest.raises(ValueError):
-        package.described(staged, {})
+    table = canonical(staged, EXPENDITURE)
+    with pytest.raises(ValueError, match="no meaning"):
+        package.schema_of(staged, ["budget_line_id"])
+    with pytest.raises(ValueError, match="neither a type"):
+        package.schema_of(table, ["budget_line_id"], ["value"])
+    with pytest.raises(ValueError, match="key's columns"):
+        package.schema_of(table, ["other"])
+    standard = {t for f in package.declared().values() if (t := f.get("columnType")) and not t.startswith("tallywright:")}
+    fields = {f["name"]: f for f in package.schema_of(table, ["budget_line_id"], standard)["fields"]}
+    assert fields["fund_code"]["columnType"] == "tallywright:fund:code" and fields["kan_label"] == {"name": "kan_label", "type": "string", "title": "款名", "columnType": "functional-classification:generic:level1:label", "labelOf": "functional-classification:generic:level1:code"}
+    assert fields["source_row"]["type"] == "integer" and told["profile"] == "tabular-data-package" and {r["profile"] for r in told["resources"]} == {"tabular-data-resource"}
+    detail = spark.read.json(str(tmp_path / "out/report/detail-expenditure")).collect()
+    assert len(detail) == 22 and json.loads((tmp_path / "out/report/preview/core_revenue.json").read_text())["rows"]
+    broken = tmp_path / "out/packages/derived/cofog.csv"
+    broken.write_text("\n".join(broken.read_text().splitlines()[:-2]) + "\n")
+    assert [r.name for r in checks.run(engine.package_checks(str(tmp_path / "out/packages"))) if r.status == "fail"] == ["derived_covers_core"]
+    engine.materialise(str(tmp_path / "tables"))
+    assert engine.core[EXPENDITURE].count() == 22 and "tables/core_expenditure" in engine.core[EXPENDITURE].inputFiles()[0]
+
+
+def test_set_differences_take_null_for_equal(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (None, "x"), (2, "y")], "k int, v string")
+    assert compare.set_diff(a, a, ["k", "v"]).count() == 0
+    b = spark.createDataFrame([(1, None), (3, None)], "k int, v string")
+    assert sorted(map(str, map(tuple, compare.set_diff(a, b, ["k", "v"]).collect()))) == sorted(map(str, [(None, "x", "a"), (2, "y", "a"), (3, None, "b")]))
+
+
+def test_large_rule_tables_meet_kinds_by_hash(spark, world):
+    """Beyond the compiled plan's limit: the same rows, and no line meets every rule."""
+    _, staged, _ = world
+    rare = [(100 + i, f"rare{i}", None, None, f"kan{i}", None, None, None, None, "assigned", "01", "retained", "款", None, "x") for i in range(600)]
+    table = spark.createDataFrame(budget.RULES + rare, budget.RULES_DDL)
+    got = rules.classify(staged[EXPENDITURE], table)
+    want = {r.budget_line_id: naive(r.asDict(), budget.RULES + rare) for r in staged[EXPENDITURE].collect()}
+    assert {r.budget_line_id: r.cofog_rule_id for r in got.collect()} == want
+    twice = staged[EXPENDITURE].unionByName(staged[EXPENDITURE])
+    assert rules.classify_join(twice, table).count() == 2 * staged[EXPENDITURE].count()
+    nulls = staged[EXPENDITURE].withColumn("moku_label", F.lit(None).cast("string"))
+    a, b = (sorted(map(str, map(tuple, f(nulls, budget.rules(spark)).collect()))) for f in (rules.classify_join, rules.classify_compiled))
+    assert a == b
 
 
 def test_lineage(spark):
@@ -197,6 +235,9 @@ def test_lineage(spark):
     assert lineage.stage_of("models/core/x.sql", {"models/": "m", "models/core": "core"}) == "core"
     with pytest.raises(ValueError):
         lineage.stage_of("other", {"models": "m"})
+    for entry in ({"name": "x", "resource_type": "seed"}, {"name": "x", "resource_type": "model", "path": "elsewhere/x.sql"}):
+        with pytest.raises(ValueError):
+            lineage.topology(spark, {"nodes": {"n": entry}})
 
 
 def test_check_results(spark):

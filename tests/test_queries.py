@@ -8,6 +8,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
+from tallywright.plans import budget_queries  # noqa: F401
 from tallywright.plans.queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

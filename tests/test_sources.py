@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallywright.functions import text
 from tallywright.operators import profile
 from tallywright.sources import catalog, raw, tables
+from tallywright.plans import surveys
+from tallywright.plans.budget_queries import REGISTRY
 from tallywright.streaming import ingest
 
 
@@ -44,19 +49,28 @@ def test_csv_keeps_blank_and_null(spark, tmp_path):
 
 def test_catalog(spark, tmp_path):
     path = tmp_path / "sources.toml"
-    path.write_text('[catalogs.c]\nurl="x"\n[[sources]]\nkey="1:2024:expenditure"\ncatalog="c"\norganization="o"\nredistribute=true\nlicense_id="cc"\n')
+    path.write_text(REGISTRY)
     found = catalog.load_sources(str(path))
-    assert catalog.may_publish(catalog.resolve(found, "1:2024:expenditure"))
+    source = catalog.resolve(found, "132047:2024")
+    assert source.organization == "t132047" and [r.direction for r in source.resources] == ["expenditure", "revenue"] and not catalog.may_publish(source)
+    for decision, may in (("allow", True), ("deny", False), ("review", False)):
+        path.write_text(REGISTRY.replace('"review"', f'"{decision}"'))
+        assert catalog.may_publish(catalog.load_sources(str(path))["132047:2024"]) == may
     with pytest.raises(KeyError):
         catalog.resolve(found, "x")
-    path.write_text('[[sources]]\nkey="a"\ncatalog="none"\n')
-    with pytest.raises(KeyError):
-        catalog.load_sources(str(path))
-    path.write_text("")
+    for text_, error in ((REGISTRY.replace('catalog = "c"', 'catalog = "none"'), KeyError), ("", ValueError), (REGISTRY.replace('encoding = "cp932"\n', ""), ValueError)):
+        path.write_text(text_)
+        with pytest.raises(error):
+            catalog.load_sources(str(path))
+    pages_ = {0: {"count": 3, "results": [1, 2]}, 2: {"count": 3, "results": [3]}}
+    assert list(catalog.all_results(pages_.__getitem__)) == [1, 2, 3]
     with pytest.raises(ValueError):
-        catalog.load_sources(str(path))
+        list(catalog.all_results(lambda start: {"count": 3, "results": [1, 2] if not start else []}))
     packages = spark.createDataFrame([("o", "t", [("a", "u1"), ("b", "u2"), ("a", "u3")])], "organization string, title string, resources array<struct<name:string,url:string>>")
-    assert [r.url for r in catalog.resolve_resource(packages, "o", "t", "a").collect()] == ["u1", "u3"]
+    assert [r.url for r in catalog.resolve_resource(packages, "o", "t", "a").collect()] == ["u1", "u3"] and catalog.resource_url(packages, "o", "t", "a") == "u1"
+    for title, name in (("none", "a"), ("t", "none")):
+        with pytest.raises(LookupError):
+            catalog.resource_url(packages, "o", title, name)
     pages = spark.createDataFrame([("x", 1, "old"), ("x", 2, "new"), ("y", 1, "only")], "name string, position int, v string")
     assert {r.name: r.v for r in tables.last_by(pages, "name", "position").collect()} == {"x": "new", "y": "only"}
     m = spark.createDataFrame([({"13": ("n", 3)},)], "j map<string, struct<name:string, n:int>>")
@@ -68,9 +82,13 @@ def test_text_functions(spark):
     assert [r[0] for r in df.select(text.column_name(F.col("a"))).collect()] == ["款", "款"]
     one = spark.createDataFrame([(bytearray(b"%PDF-1.4"), "12", "１２", "令和６年度予算", 123_456_789, "a\nb\n\nc\n")], "c binary, d string, e string, t string, y bigint, s string")
     r = one.select(text.sniff(F.col("c")).alias("c"), text.is_code(F.col("d")).alias("d"), text.is_code(F.col("e")).alias("e"), text.has_era_label(F.col("t"), 2024).alias("t"), text.yen_short(F.col("y")).alias("y"), text.data_rows(F.col("s")).alias("s")).first()
-    assert tuple(r) == ("pdf", True, False, True, "1.2億", 2)
+    assert tuple(r) == ("pdf", True, False, True, "1.2億円", 2)
     assert [x[0] for x in spark.createDataFrame([("歳出予算",), ("歳入歳出",), ("歳入",)], "t string").select(text.direction_of(F.col("t"))).collect()] == ["expenditure", "unknown", "revenue"]
-    assert text.era_labels(2019) == ["令和元年度"]
+    assert text.era_labels(2019) == ["令和元年度"] and text.era_labels(2018) == ["平成30年度", "平成３０年度"] and text.era_labels(1989) == ["平成元年度"] and text.era_labels(1988)[0] == "昭和63年度"
+    with pytest.raises(ValueError):
+        text.era_labels(1900)
+    amounts = [(0, "0円"), (-9_999, "-9,999円"), (12_345, "1万円"), (123_456_789, "1.2億円"), (-10_000_000_000, "-100億円"), (123_456_789_012, "1235億円")]
+    assert [x[0] for x in spark.createDataFrame([(a,) for a, _ in amounts], "y bigint").select(text.yen_short(F.col("y"))).collect()] == [s for _, s in amounts]
 
 
 def test_profiles(spark):
@@ -113,6 +131,12 @@ def test_streaming_ingest(spark, tmp_path):
     for _ in range(2):
         ingest.ingest_available(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    # A file with an old time isn't late, and bytes that came long ago aren't new.
+    for name, body in (("d.csv", "z"), ("e.csv", "y")):
+        (tmp_path / "in" / name).write_text(body)
+        os.utime(tmp_path / "in" / name, (10**9, 10**9))
+    ingest.ingest_available(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    assert sorted(bytes(r.content) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [b"x", b"y", b"z"]
 
 
 def test_taxonomy(spark):
@@ -121,3 +145,72 @@ def test_taxonomy(spark):
     text = "# T\n##### `value`\n\n- _dataType_: number\n\n##### `a:level{1..2}:code`\n\nText\n- _dataType_: `string`\n- _unique_: true\n\n##### `a:level{1..2}:label`\n- _dataType_: string\n- _labelOf_: `a:level1:code`\n## Next\n- _prior_: x\n##### `none`\nnothing"
     got = [tuple(r) for r in column_types(spark.createDataFrame([(text,)], "value string")).collect()]
     assert got == [("value", "number", False, None, None), ("a:level1:code", "string", True, None, None), ("a:level2:code", "string", True, None, None), ("a:level1:label", "string", False, "a:level1:code", None), ("a:level2:label", "string", False, "a:level2:code", None)]
+
+
+def test_ingest_of_a_source(spark, tmp_path):
+    (tmp_path / "sources.toml").write_text(REGISTRY.replace('"review"', '"allow"'))
+    source = catalog.load_sources(str(tmp_path / "sources.toml"))["132047:2024"]
+    packages = spark.createDataFrame([("t132047", "予算", [(r.resource_name, f"u{i}") for i, r in enumerate(source.resources)])], "organization string, title string, resources array<struct<name:string,url:string>>")
+    asked = []
+
+    def fetch(url):
+        asked.append(url)
+        return 200, "款,額\r\n01Ⅰ,1\r\n".encode("cp932")
+
+    assert raw.ingest_source(spark, source, packages, fetch, str(tmp_path / "raw")) == {"expenditure": True, "revenue": True} and asked == ["u0", "u1"]
+    assert raw.ingest_source(spark, source, packages, fetch, str(tmp_path / "raw")) == {"expenditure": False, "revenue": False}
+    record = json.loads((tmp_path / "raw/jurisdiction=132047/year=2024/phase=approved/direction=revenue/provenance.json").read_text())
+    assert record["request_url"] == "u1" and record["license_id"] == "CC-BY-4.0" and "令和６年度" in record["fiscal_year_basis"]
+    from dataclasses import replace
+
+    with pytest.raises(PermissionError):
+        raw.ingest_source(spark, replace(source, redistribute="deny"), packages, fetch, str(tmp_path / "raw"))
+    with pytest.raises(ValueError, match="name the year"):
+        raw.ingest_source(spark, replace(source, fiscal_year_label="令和７年度"), packages, fetch, str(tmp_path / "raw"))
+    with pytest.raises(ConnectionError):
+        raw.ingest_source(spark, source, packages, lambda url: (404, b""), str(tmp_path / "raw"))
+
+
+def test_surveys_of_folders(spark, tmp_path):
+    from tallywright.__main__ import main
+
+    years = tmp_path / "years"
+    years.mkdir()
+    head = "01会計,02款,03項,04目,05事項,06節,07細々節,08予算額"
+    (years / "令和６年度（歳出）.csv").write_bytes(f"{head}\r\n01一般,a,b,c,d,e,f,10\r\n02特別,a,b,c,d,e,f,-3\r\n".encode("shift_jis"))
+    (years / "平成30年度（歳出）.csv").write_text(f'{head}\n01一般,a,b,c,d,e,f,"1,000"\n')
+    got = {(r.year, r.direction): (r.compatible, r.total, r.basis) for r in surveys.years(spark, str(years), {"expenditure": head.split(",")}, [2018, 2023, 2024]).collect()}
+    assert got[2024, "expenditure"][:2] == (True, 7) and got[2018, "expenditure"][0] is False and "quoted" in got[2018, "expenditure"][2] and got[2023, "expenditure"] == (None, None, "no file")
+    assert main(["survey", "--files", str(years), "--jurisdiction", "132047", "--years", "2018-2024", "--write", str(tmp_path / "dump")]) == 0
+    assert spark.read.json(str(tmp_path / "dump/years")).count() == 14
+    files = tmp_path / "files"
+    for code, name, body in (("132047", "歳出.csv", "01款,02目,05事項,08予算額\n1,2,3,4\n"), ("132047", "歳出2.csv", "款,予算額\n"), ("131016", "page.csv", " <!DOCTYPE html>")):
+        (files / code).mkdir(parents=True, exist_ok=True)
+        (files / code / name).write_text(body)
+    found = {r.file.split("/")[1]: (r.kind, r.granularity, r.rows) for r in surveys.granularity(spark, str(files)).collect()}
+    assert found["歳出.csv"] == ("text", "project", 1) and found["歳出2.csv"][1] == "category" and found["page.csv"][:2] == ("html", "unchecked")
+    bulletins = tmp_path / "bulletins"
+    bulletins.mkdir()
+    standard = ",".join(profile.BULLETIN_COLUMNS)
+    row = ",".join(["131016", "", "千代田区", "だより", *[""] * 11, "https://x.jp"])
+    (bulletins / "a.csv").write_text(f"{standard}\n{row}\n")
+    (bulletins / "b.csv").write_text(f"{standard}\n" + row.replace("131016", "13") * 1 + "\n" + f"{row}\n")
+    (bulletins / "c.csv").write_text("<html>")
+    verdicts = {r.file: (r.conformance, r.row_failures, r.note) for r in surveys.bulletins(spark, str(bulletins)).collect()}
+    assert verdicts["a.csv"] == ("conformant", None, None) and verdicts["b.csv"] == ("broken", ["2: code"], "rows at fault") and verdicts["c.csv"][::2] == ("broken", "HTML, not CSV")
+    gate = {"fetch": "allow", "redistribute": "deny", "constraints": [], "policyVersion": "1", "evaluatedAt": "2024-01-01"}
+    body = {"transcript": {"systemFamily": "own-site", "transcriptUrl": "https://a.jp/x", "robots": {"verdict": "none", "aiCrawler": "unchecked"}, "gate": gate, "confidence": "confirmed"}, "status": {"driver": "not-started", "ingestValidated": False, "published": False}}
+    document = {"policy": {"version": "1", "constraints": {}}, "jurisdictions": {"131016": body}}
+    registry = {"jurisdictions": {"131016": {"name": "n", "ocdId": "ocd-division/country:jp/prefecture:13/city:131016", "tokyoCatalogDatasets": None}}}
+    for wrong in (False, True):
+        if wrong:
+            gate["fetch"] = "maybe"
+        (tmp_path / "gates.json").write_text(json.dumps(document))
+        (tmp_path / "registry.json").write_text(json.dumps(registry))
+        assert main(["gates", "--gates", str(tmp_path / "gates.json"), "--registry", str(tmp_path / "registry.json")]) == int(wrong)
+
+
+def test_robots_answers(spark):
+    rows = [("a", 200, "text/plain", b"User-agent: *"), ("b", 200, "text/html; x", b"x"), ("c", 200, None, b"  <HTML>"), ("d", 404, "text/plain", b"x"), ("e", None, None, None)]
+    got = {r.origin: r.rules for r in profile.robots(spark.createDataFrame(rows, "origin string, status int, content_type string, content binary")).collect()}
+    assert got == {"a": "User-agent: *", "b": None, "c": None, "d": None, "e": None}
