@@ -1,4 +1,4 @@
-"""python -m tallywright run|checks|sql|survey|granularity|bulletins|gates ...: the engine from the command line."""
+"""python -m tallywright ingest|run|checks|sql|survey|granularity|bulletins|gates|robots ...: the engine from the command line."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from tallywright.model import EXPENDITURE, LAYOUTS, REVENUE, RULES_DDL
 from tallywright.operators import profile
 from tallywright.plans import checks, pipeline, surveys
 from tallywright.session import build_session
-from tallywright.sources.catalog import load_sources
+from tallywright.sources import http
+from tallywright.sources.catalog import load_sources, packages_of, resolve
+from tallywright.sources.raw import ingest_source
 from tallywright.sources.tables import read_csv, write_json
 
 
@@ -32,9 +34,14 @@ def _parser() -> argparse.ArgumentParser:
         if name == "survey":
             p.add_argument("--jurisdiction", required=True)
             p.add_argument("--years", required=True, help="first-last")
-    p = commands.add_parser("gates", help="whether gates and registry are valid and agree")
-    p.add_argument("--gates", required=True)
-    p.add_argument("--registry", required=True)
+    for name, what in (("gates", "whether gates and registry are valid and agree"), ("robots", "what each publisher's robots.txt says")):
+        p = commands.add_parser(name, help=what)
+        p.add_argument("--gates", required=True)
+        p.add_argument("--registry", required=True)
+    p = commands.add_parser("ingest", help="get a source's files, verify them and put them below the raw folder")
+    p.add_argument("--sources", required=True, help="TOML registry of sources")
+    p.add_argument("--key", required=True, help="code:year")
+    p.add_argument("--raw", required=True)
     for p in commands.choices.values():
         p.add_argument("--master")
         p.add_argument("--write", help="folder for the result as JSON lines")
@@ -51,6 +58,15 @@ def _show(results: dict, folder: str | None) -> None:
 def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = build_session(a.master)
+    if a.command == "ingest":
+        source = resolve(load_sources(a.sources), a.key)
+        packages = packages_of(spark, http.search(source.catalog, source.dataset_title))
+        for direction, new in ingest_source(spark, source, packages, http.body_of, a.raw).items():
+            print(f"{direction}: {'written' if new else 'there already'}")
+        return 0
+    if a.command == "robots":
+        _show({"robots": (surveys.robots(spark, a.gates, a.registry, http.get), ["origin"])}, a.write)
+        return 0
     if a.command == "survey":
         first, last = (int(x) for x in a.years.split("-"))
         headers = {d: list(LAYOUTS[a.jurisdiction].columns[d]) for d in (EXPENDITURE, REVENUE)}

@@ -1,11 +1,11 @@
 """Surveys of published files in a folder: what they hold, by their columns and not by their names. Each result is a DataFrame; the
-command line shows it and writes it down on demand. Getting the files is out of scope."""
+command line shows it and writes it down on demand."""
 
 from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallywright.functions import text
 from tallywright.model import BULLETINS_DDL, GATES_DDL, REGISTRY_DDL
 from tallywright.operators import aggregate, profile, schema
+from tallywright.sources.http import Fetched
 from tallywright.sources.raw import decode_lenient, split_header
 from tallywright.sources.tables import binary_files, exploded_map, read_json
 
@@ -79,6 +80,16 @@ def gates(spark: SparkSession, path: str, registry_path: str) -> dict[str, DataF
     return {"errors": errors.orderBy("code", "error"), "counts": counts, "targets": profile.fetch_targets(rows).select("code", "transcript_url").orderBy("code")}
 
 
+def robots(spark: SparkSession, path: str, registry_path: str, fetch: Callable[[str], Fetched]) -> DataFrame:
+    """origin, codes, status, found, sha256, rules, reason: one request for each origin that the gates name."""
+    document, registry = read_json(spark, path, GATES_DDL), read_json(spark, registry_path, REGISTRY_DDL)
+    wanted = profile.by_origin(schema.gate_rows(document, registry)).orderBy("origin").collect()  # one row for each publisher
+    got = [(r["origin"], r["codes"], fetch(f"{r['origin']}/robots.txt")) for r in wanted]
+    rows = [(o, c, f.status, f.content_type, f.body, f.fetched_at, f.reason) for o, c, f in got]
+    answers = profile.robots(spark.createDataFrame(rows, "origin string, codes array<string>, status int, content_type string, content binary, fetched_at string, reason string"))
+    return answers.select("origin", "codes", "status", "found", F.when(F.col("found"), F.sha2("content", 256)).alias("sha256"), "rules", "fetched_at", "reason")
+
+
 def bulletin_registry(spark: SparkSession, path: str) -> DataFrame:
     """Fields at fault in a list of bulletin datasets."""
     return schema.schema_errors(exploded_map(read_json(spark, path, BULLETINS_DDL), "datasets"), "code", schema.bulletin_fields())

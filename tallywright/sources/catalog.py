@@ -1,5 +1,5 @@
-"""The registry of sources (TOML) and the resolver of catalogue entries (JSON). Requests over the network are out of scope: where one
-is needed, a function is passed in."""
+"""The registry of sources (TOML) and the resolver of catalogue entries (JSON). Where something must be got over the
+network, a function is passed in (``http`` has one)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries of a catalogue asked for at once.
@@ -105,6 +105,16 @@ def all_results(fetch: Callable[[int], dict]) -> Iterator[dict]:
             raise ValueError(f"the catalogue gave {start} of {page['count']} entries")
 
 
+PACKAGES_DDL = "organization string, name string, title string, resources array<struct<name:string,url:string,format:string>>"
+
+
+def packages_of(spark: SparkSession, found: list[dict]) -> DataFrame:
+    """A catalogue's answer as packages; of entries with one name the last."""
+    last = {p.get("name"): p for p in found}
+    rows = [((p.get("organization") or {}).get("name"), p.get("name"), p.get("title"), [(r.get("name"), r.get("url"), r.get("format")) for r in p.get("resources") or []]) for p in last.values()]
+    return spark.createDataFrame(rows, PACKAGES_DDL)
+
+
 def resolve_resource(packages: DataFrame, organization: str, title: str, name: str) -> DataFrame:
     """packages (organization, title, resources array of struct(name, url)): the resources of that name, in catalogue order."""
     own = packages.where((F.col("organization") == organization) & (F.col("title") == title))

@@ -214,3 +214,67 @@ def test_robots_answers(spark):
     rows = [("a", 200, "text/plain", b"User-agent: *"), ("b", 200, "text/html; x", b"x"), ("c", 200, None, b"  <HTML>"), ("d", 404, "text/plain", b"x"), ("e", None, None, None)]
     got = {r.origin: r.rules for r in profile.robots(spark.createDataFrame(rows, "origin string, status int, content_type string, content binary")).collect()}
     assert got == {"a": "User-agent: *", "b": None, "c": None, "d": None, "e": None}
+
+
+@pytest.fixture
+def server():
+    """Answers on this machine: a catalogue of two pages, files, and things that go wrong."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.parse import parse_qs, urlsplit
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            url, base = urlsplit(self.path), f"http://127.0.0.1:{self.server.server_port}"
+            if url.path == "/search":
+                start = int(parse_qs(url.query)["start"][0])
+                entry = [{"name": "a", "title": "予算", "organization": {"name": "t132047"}, "resources": [{"name": n, "url": f"{base}/{i}.csv", "format": "CSV"} for i, n in enumerate(("令和６年度（歳出）", "令和６年度（歳入）"))]}]
+                body = json.dumps({"result": {"count": 2, "results": [{"name": "old", "title": "x", "organization": None}] if start == 0 else entry}}).encode()
+            elif url.path.endswith(".csv"):
+                body = "款,額\r\n01Ⅰ,1\r\n".encode("cp932")
+            elif url.path == "/robots.txt":
+                body = b"User-agent: *"
+            elif url.path == "/large":
+                body = b"x" * 1000
+            else:
+                self.send_error(404)
+                return
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body) + (url.path == "/cut")))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    running = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=running.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{running.server_port}", asked
+    running.shutdown()
+
+
+def test_http(spark, tmp_path, server, capsys):
+    from tallywright.__main__ import main
+    from tallywright.sources import http
+
+    base, asked = server
+    good = http.get(f"{base}/large")
+    assert good.status == 200 and good.body == b"x" * 1000 and len(good.sha256) == 64
+    assert http.get(f"{base}/large", most=999).body is None and "999" in http.get(f"{base}/large", most=999).reason
+    assert http.get(f"{base}/none").status == 404 and http.get("http://127.0.0.1:1/x").status is None
+    with pytest.raises(ConnectionError):
+        http.body_of(f"{base}/none")
+    (tmp_path / "sources.toml").write_text(REGISTRY.replace('"review"', '"allow"').replace("https://c/search", f"{base}/search"))
+    args = ["ingest", "--sources", str(tmp_path / "sources.toml"), "--key", "132047:2024", "--raw", str(tmp_path / "raw")]
+    assert main(args) == 0 and main(args) == 0
+    said = capsys.readouterr().out
+    assert said.count("written") == 2 and said.count("there already") == 2 and sum("start=1" in x for x in asked) == 2
+    gate = {"systemFamily": "own-site", "transcriptUrl": f"{base}/x", "robots": {"verdict": "none", "aiCrawler": "unchecked"}, "gate": {"fetch": "allow", "redistribute": "deny", "constraints": [], "policyVersion": "1"}}
+    (tmp_path / "gates.json").write_text(json.dumps({"jurisdictions": {"131016": {"transcript": gate}, "131024": {"transcript": gate}}}))
+    (tmp_path / "registry.json").write_text(json.dumps({"jurisdictions": {}}))
+    asked.clear()
+    r = surveys.robots(spark, str(tmp_path / "gates.json"), str(tmp_path / "registry.json"), http.get).collect()
+    assert len(r) == 1 and r[0].codes == ["131016", "131024"] and r[0].found and r[0].rules == "User-agent: *" and asked == ["/robots.txt"]
