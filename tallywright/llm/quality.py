@@ -1,13 +1,17 @@
 """Quality classifier from weak labels.
 
-Nine heuristic labellers look at a whole text and vote good, bad or nothing. How often each pattern of votes
-occurs is counted over all documents (at most 3^9 patterns). Expectation-maximisation on these counts
-(Dawid and Skene, 1979) estimates each labellers' votes under either class, and so the posterior of every pattern.
-A linear scorer over hashed features (kinds of neighbouring bytes, repetition) is then trained on the
-posteriors of at most ``Training.rows`` documents, those with the least hash of doc_id, and scores all.
-
-Defined cases: null and empty texts get no vote and the score of an empty text; a text without any vote is kept; with fewer than two kinds of
-vote patterns, or one class only, everything is kept; repeated rows and null doc_id are scored like any.
+Eleven heuristic labellers look at a whole text and vote good, bad or nothing; every kind of junk is in the view of two
+of them at least. How often each pattern of votes occurs is counted over all documents (at most 3^11 patterns).
+Expectation-maximisation on these counts (Dawid and Skene, 1979, with several latent classes) estimates how often each
+labeller votes bad in each class, and so the posterior of every pattern. A class is bad if two labellers or more
+vote bad on most of its texts: a labeller whose bad votes no other one confirms errs on good texts, and loses.
+A linear scorer over hashed features (kinds of neighbouring bytes, repetition) is then trained on the posteriors of at
+most ``Training.rows`` different texts, those with the least hash, and scores all documents.
+
+Defined cases: null and empty texts get no vote and the score of an empty text; a text without any vote is kept; with fewer than
+two kinds of vote patterns, or one class only, everything is kept; repeated rows and null doc_id are scored like any, and count
+once in training; a tie of hashes is a tie of texts; a very long text is examined whole, by itself; other columns are ignored
+by ``score`` and kept by ``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from tallywright.llm import textkernel as tk
 from tallywright.llm.scratch import small_batches
 
-LABELLERS = ("signs", "capitals", "exclamations", "separators", "repeats", "bigrams", "sentences", "lengths", "lines")
+LABELLERS = ("signs", "capitals", "exclamations", "separators", "repeats", "bigrams", "sentences", "lengths", "lines", "glued", "triples")
 GOOD, NOTHING, BAD = 2, 1, 0
 CLASSES = 16
 WIDTH = 1024
@@ -39,7 +43,6 @@ class Training:
     steps: int = 300
     rate: float = 0.5
     ridge: float = 1e-5
-    false_alarm: float = 0.001
     reject_below: float = 0.5
 
 
@@ -92,6 +95,13 @@ def examine(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         twice = _repeated(pairs, pair_of, np.ones(len(pairs)), n)
         ends = np.bincount(of[np.isin(data[end - 1], list(b".,;:?!"))], minlength=n) if len(end) else np.zeros(n)
         a, b, line_hash, line_of = tk.words(data, offsets, _LINES)
+        sign = np.isin(kind, (11, 12, 13))
+        odd = np.concatenate([[0], np.cumsum(sign)])
+        glued = np.bincount(of[(real[end] > real[start]) & (odd[end] > odd[start])], minlength=n)
+        thrice = np.zeros(len(data) + 1, np.int64)
+        if len(data) > 2:
+            np.cumsum(sign[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]), out=thrice[3:])
+        tripled = np.bincount(of[thrice[end] > thrice[np.minimum(start + 2, end)]], minlength=n)
         line_bytes = np.bincount(line_of, b - a, n)
         line_again = _repeated(line_hash, line_of, (b - a).astype(float), n)
         letters = counts[:, 0] + counts[:, 1]
@@ -113,6 +123,8 @@ def examine(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
             vote(stops > 0.7, (stops > 0.02) & (stops < 0.45), many),
             vote((size > 14) | (size < 2.5), (size > 3.2) & (size < 11), some),
             vote(again > 0.4, again < 0.2, many),
+            vote(_share(glued, words) > 0.2, _share(glued, words) < 0.05, any_),
+            vote(_share(tripled, words) > 0.15, _share(tripled, words) < 0.05, any_),
         ]
         code = sum(v * 3**i for i, v in enumerate(votes))
         inside = np.ones(max(len(data) - 2, 0), bool)
@@ -131,32 +143,36 @@ def unpack(codes: np.ndarray) -> np.ndarray:
     return np.column_stack([codes // 3**i % 3 for i in range(len(LABELLERS))])
 
 
-def expectation_maximisation(votes: np.ndarray, weight: np.ndarray, rounds: int, false_alarm: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """(posterior of good by pattern, P(bad | class, it votes) as labellers x classes, prior of good).
+def expectation_maximisation(votes: np.ndarray, weight: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(posterior of good by pattern, P(bad | class, it votes) as labellers x (bad, good), prior of good).
 
-    Not to vote says nothing of the class. The labellers overlap, but bad texts are of several kinds and each
-    labeller knows few of them. Two classes alone would let the most frequent kind be "bad" and call the others
-    good texts with an error; so the start takes any bad vote for a bad text, and no labeller is taken to err
-    on more than ``false_alarm`` of the good texts, which its limits are wide enough for.
+    One latent class starts from the texts without a bad vote, and one for each labeller from those that it votes bad on, a
+    text's share being split evenly; from there only the votes count. Not to vote says nothing of the class. Junk
+    comes in kinds and each labeller knows few of them, which two classes can't express. A class
+    on which fewer than two labellers vote bad most of the time is a mere error of one, and so is good.
     """
-    total = weight.sum()
-    bad, good = votes == BAD, votes == GOOD
-    post = np.where(bad.any(1), 0.001, 0.999)
-    rates = np.zeros((votes.shape[1], 2))
-    prior = 0.5
+    bad, good = (votes == BAD).astype(float), (votes == GOOD).astype(float)
+    n, classes = len(votes), votes.shape[1] + 1
+    share = np.empty((n, classes))
+    share[:, 0] = bad.sum(1) == 0
+    share[:, 1:] = bad / np.maximum(bad.sum(1, keepdims=True), 1)
+    share = 0.98 * share + 0.02 / classes
     for _ in range(rounds):
-        old = post
-        prior = float(np.clip((weight * post).sum() / total, 0.01, 0.99))
-        for k, share in enumerate((1 - post, post)):
-            b, g = (bad * (weight * share)[:, None]).sum(0), (good * (weight * share)[:, None]).sum(0)
-            rates[:, k] = (b + 0.5) / (b + g + 1.0)
-        rates = np.clip(rates, 1e-4, 1 - 1e-4)
-        rates[:, 1] = np.minimum(rates[:, 1], false_alarm)
-        logs = [np.log(p) + bad @ np.log(rates[:, k]) + good @ np.log(1 - rates[:, k]) for k, p in ((0, 1 - prior), (1, prior))]
-        post = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
-        if np.abs(post - old).max() < 1e-6:
+        old = share
+        held = (share * weight[:, None]).T
+        mass = held.sum(1)
+        b, g = held @ bad, held @ good
+        rates = (b + 0.5) / (b + g + 1.0)
+        logs = np.log((mass + 1) / (mass.sum() + classes)) + bad @ np.log(rates).T + good @ np.log(1 - rates).T
+        share = np.exp(logs - logs.max(1, keepdims=True))
+        share /= share.sum(1, keepdims=True)
+        if np.abs(share - old).max() < 1e-6:
             break
-    return post, rates, prior
+    confirmed = (rates > 0.5).sum(1) >= 2
+    post = share[:, ~confirmed].sum(1)
+    held = np.stack([1 - post, post]) * weight
+    b, g = held @ bad, held @ good
+    return post, ((b + 0.5) / (b + g + 1.0)).T, float(held[1].sum() / weight.sum())
 
 
 def fit(documents: DataFrame, t: Training = Training()) -> Model:
@@ -168,17 +184,19 @@ def fit(documents: DataFrame, t: Training = Training()) -> Model:
                 kinds, n = np.unique(code, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], ["code", "n"])
 
-    # At most 3^9 rows.
+    # At most 3^11 rows.
     patterns = documents.select("text").mapInArrow(vote, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toPandas()
     keep_all = Model(np.zeros(WIDTH, np.float32), 10.0, t.reject_below)
     if len(patterns) < 2:
         return keep_all
     codes = patterns["code"].to_numpy()
-    post, _, _ = expectation_maximisation(unpack(codes), patterns["n"].to_numpy(float), t.rounds, t.false_alarm)
+    post, _, _ = expectation_maximisation(unpack(codes), patterns["n"].to_numpy(float), t.rounds)
     if post.min() > 0.5 or post.max() < 0.5:
         return keep_all
-    drawn = documents.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(t.rows)
-    sample = documents.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("text")
+    hashed = documents.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    drawn = hashed.select(F.col("h").alias("drawn")).distinct().orderBy("drawn").limit(t.rows)
+    # Of texts with one hash one is taken: at most t.rows rows, however often a text is repeated.
+    sample = hashed.join(F.broadcast(drawn), F.col("h") == F.col("drawn")).groupBy("h").agg(F.first("text").alias("text")).select("text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
