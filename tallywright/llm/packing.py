@@ -2,16 +2,21 @@
 
 Each partition packs its documents as they come. Full windows are cut off a long document first; its rest
 goes to the fill level that minimises the sum of the squared counts of partially filled windows, read off an
-array of counts by level (a new window counts as level 0). At the end, and whenever ``most_open`` windows are
-open, the pieces of the open windows are laid end to end and cut at window borders; what is left then becomes
-windows whose lengths are powers of two. So no window needs padding; a document is cut only there and where
-it's longer than a window.
+array of counts by level (a new window counts as level 0). A piece counts as its length rounded up to ``grain`` ids, so that the
+array is short and few windows are open: some hundreds. At the last level a window is done, if no more than ``loss`` of it
+is padding; else (many tiny pieces) its level is set to its true fill and it stays open.
 
-One pass over the input and no shuffle. A sequence's number is its partition's number times 2^32 plus a count,
-so a task that runs again after a loss gives the same rows.
+Where the lengths can't be packed (all just above half a window, say) the rule would open windows without end. It never has more
+than ``most_open``, as many as four for each level: beyond, a rest first fills what is left of the fullest open window, and
+what remains of it goes by the rule. At the end of a partition the pieces of the windows still open are laid end to end
+and cut at window borders, the last into lengths that are powers of two. Documents are cut only there and where longer than a window.
 
-Defined cases: a null text is empty and packs as its end id alone; null doc_id stays null; repeated rows are
-packed each; an empty table gives no rows.
+One pass over the input and no shuffle; partitions are those of the scan, some thousand documents or more each, so what is
+open at their end is a small part. A sequence's number is its partition's number times 2^32 plus a count, so a task that
+runs again after a loss gives the same rows. A task holds one batch and at most ``most_open`` windows.
+
+Defined cases: a null text is empty and packs as its end id alone; null doc_id stays null; repeated rows are packed each; of levels with one cost
+the fullest is taken; a very long text is cut into windows at once; other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,18 +46,25 @@ class Piece:
         return Piece(self.doc, self.start, self.ids[:n], self.of), Piece(self.doc, self.start + n, self.ids[n:], self.of)
 
 
-class SumOfSquares:
-    """Online packing; ``done`` collects finished windows as lists of pieces."""
+def length(pieces: list[Piece]) -> int:
+    return sum(len(p.ids) for p in pieces)
 
-    def __init__(self, window: int, most_open: int = 4096):
-        self.window, self.most_open, self.open = window, most_open, 0
-        self.count = np.zeros(window + 1, np.int64)
-        self.at: list[list[list[Piece]]] = [[] for _ in range(window)]
+
+class SumOfSquares:
+    """Online packing; ``done`` collects finished windows as lists of pieces. ``placed`` counts pieces that lie where the rule put them,
+    ``cut`` those cut at the bound or laid out at the end."""
+
+    def __init__(self, window: int, grain: int = 4, loss: float = 1 / 32):
+        self.window, self.grain, self.loss, self.levels, self.open = window, grain, loss, -(-window // grain), 0
+        self.most_open = 4 * self.levels
+        self.count = np.zeros(self.levels + 1, np.int64)
+        self.at: list[list[list[Piece]]] = [[] for _ in range(self.levels)]
         self.done: list[list[Piece]] = []
+        self.placed = self.cut = 0
 
     def level(self, size: int) -> int:
-        """The level (0: a new window) whose choice leaves the least sum of squares."""
-        c, w = self.count, self.window
+        """The level (0: a new window) whose choice leaves the least sum of squares; ``size`` in grains."""
+        c, w = self.count, self.levels
         cost = 2 * (c[size : w + 1] - c[: w + 1 - size]) + 2
         cost[-1] -= 1 + 2 * c[w]  # a window that gets full isn't counted
         cost[1:][c[1 : w + 1 - size] == 0] = 1 << 60
@@ -65,32 +77,49 @@ class SumOfSquares:
         whole = n - n % w
         for s in range(0, whole, w):
             self.done.append([Piece(doc, s, ids[s : s + w], n)])
-        if whole == n:
-            return
-        size = n - whole
-        piece = Piece(doc, whole, ids[whole:].copy(), n)
+        if whole < n:
+            self.place(Piece(doc, whole, ids[whole:].copy(), n))
+
+    def _take(self, level: int) -> list[Piece]:
+        self.count[level] -= 1
+        self.open -= 1
+        return self.at[level].pop()
+
+    def _finish(self, pieces: list[Piece]) -> None:
+        self.done.append(pieces)
+        self.placed += len(pieces)
+
+    def place(self, piece: Piece) -> None:
+        size = -(-len(piece.ids) // self.grain)
         level = self.level(size)
-        if level:
-            pieces = self.at[level].pop()
-            self.count[level] -= 1
-            self.open -= 1
+        if not level and size < self.levels and self.open >= self.most_open:
+            level = next(h for h in range(self.levels - 1, 0, -1) if self.count[h])
+            pieces = self._take(level)
+            room = self.window - length(pieces)
+            if room < len(piece.ids):
+                head, piece = piece.cut(room)
+                self.cut += 1
+                self._finish([*pieces, head])
+                return self.place(piece)
         else:
-            pieces = []
+            pieces = self._take(level) if level else []
         pieces.append(piece)
-        if level + size == w:
-            self.done.append(pieces)
-            return
-        self.at[level + size].append(pieces)
-        self.count[level + size] += 1
+        level += size
+        if level >= self.levels:
+            fill = length(pieces)
+            if self.window - fill <= self.loss * self.window:
+                return self._finish(pieces)
+            level = -(-fill // self.grain)
+        self.at[level].append(pieces)
+        self.count[level] += 1
         self.open += 1
-        if self.open >= self.most_open:
-            self.close()
 
     def close(self) -> None:
         """Lay the open windows' pieces end to end, fullest windows first."""
         pieces = [p for level in reversed(self.at) for pieces in level for p in pieces]
         left = sum(len(p.ids) for p in pieces)
-        self.at, self.open = [[] for _ in range(self.window)], 0
+        self.at, self.open = [[] for _ in range(self.levels)], 0
+        self.cut += len(pieces)
         self.count[:] = 0
         now: list[Piece] = []
         room = size = self._next(left)
