@@ -9,8 +9,10 @@ doubled and ``<|`` becomes ``<\\|``; in roles a newline gets a backslash before
 can arise from content, and removing one backslash from each pair restores it.
 
 Defined cases: a null text or role is empty; rows are ordered by turn (null first), then role, then
-text, so ties and repeated rows keep all their rows in one fixed order; rows whose conversation id is
-null form one conversation; an empty table gives no example; other columns are ignored.
+text, so ties and repeated rows keep all their rows in one fixed order; a row whose conversation id is null is a
+conversation of its own, told apart by ``part`` (0 for all others), so such rows never meet in one task; a very long text is part
+of every example that follows it in its conversation, as the method asks; an empty table gives no example; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,18 +37,21 @@ def _head(role: Column) -> Column:
 
 
 def format_examples(conversations: DataFrame, trainable_role: str = "assistant") -> DataFrame:
-    """conv_id, example, formatted, loss_start, loss_end (code points, end exclusive; equal: nothing to train)."""
+    """conv_id, part, example, formatted, loss_start, loss_end (code points, end exclusive; equal: nothing to train)."""
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    part = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long"))
+    told = conversations.select("conv_id", part.alias("part"), "turn", "role", "text")
+    turns = told.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     turns = turns.withColumn("marked", F.transform("turns", lambda t: F.concat(_head(t["role"]), escape(t["text"]), F.lit(CLOSE))))
     numbered = F.transform("turns", lambda t, i: F.struct((i + 1).alias("at"), (t["role"] == trainable_role).alias("trained"), t["role"].alias("role"), t["text"].alias("text")))
     wanted = F.filter(numbered, lambda t: t["trained"] | (t["at"] == F.size("turns")))
-    each = turns.select("conv_id", "marked", F.explode(wanted).alias("t")).select("conv_id", "marked", "t.*")
+    each = turns.select("conv_id", "part", "marked", F.explode(wanted).alias("t")).select("conv_id", "part", "marked", "t.*")
     context = F.array_join(F.slice("marked", F.lit(1), F.col("at") - 1), "")
-    each = each.select("conv_id", F.col("at").cast("long").alias("example"), "trained", context.alias("context"), _head(F.col("role")).alias("head"), escape(F.col("text")).alias("reply"))
+    each = each.select("conv_id", "part", F.col("at").cast("long").alias("example"), "trained", context.alias("context"), _head(F.col("role")).alias("head"), escape(F.col("text")).alias("reply"))
     start = F.length("context") + F.length("head")
     return each.select(
         "conv_id",
+        "part",
         "example",
         F.concat("context", "head", "reply", F.lit(CLOSE)).alias("formatted"),
         start.cast("long").alias("loss_start"),
@@ -63,8 +68,8 @@ def read_turns(formatted: Column) -> Column:
 def summarise(examples: DataFrame) -> DataFrame:
     """What the examples say of each conversation, read back from the formatted texts and loss spans."""
     loss = unescape(F.substring(F.col("formatted"), F.col("loss_start").cast("int") + 1, (F.col("loss_end") - F.col("loss_start")).cast("int")))
-    per = examples.select("conv_id", "example", "formatted", loss.alias("loss"))
-    whole = per.groupBy("conv_id").agg(
+    per = examples.select("conv_id", "part", "example", "formatted", loss.alias("loss"))
+    whole = per.groupBy("conv_id", "part").agg(
         F.max_by("formatted", "example").alias("formatted"),
         F.array_sort(F.collect_list(F.struct("example", "loss"))).alias("parts"),
         F.sum(F.length("formatted")).cast("long").alias("formatted_chars"),
