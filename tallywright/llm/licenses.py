@@ -1,14 +1,15 @@
 """Licence scan by canonical digest, with DataFrame functions only.
 
-A text is put into a canonical form: ASCII letters in lower case, lines that only state a copyright taken out,
-equivalent spellings made one, and every run of ASCII signs and spaces one space. The digest of the whole text
-is looked up among those of known licence texts, and the digest of each of its lines among those of known licence
-notices ("Released under the MIT License."). Both tables are constants of this module (a few thousand rows
-whatever the input), so the lookups are broadcast hash joins; documents aren't shuffled for them.
-
-Defined cases: null and empty texts match nothing and have the digest of an empty text; rows that repeat a doc_id
-are taken for one document: each shows the notices of all; a notice that stands twice counts twice, its licence once; doc_id may be null (no notices are reported then);
-other columns are ignored.
+A text is put into a canonical form: ASCII letters in lower case, lines that only state a copyright taken out, every run
+of ASCII signs and spaces one space, and equivalent spellings, as whole words, made one. The digest of the whole text is
+hash-joined to those of known licence texts: the short ones stand here, of the long ones only the digests do, and a caller
+can add texts. The table is a constant (some dozen rows), so documents aren't shuffled. In the same pass each line
+is compared with the known notices ("Released under the MIT License."), a subject, verb, article and name of a licence.
+
+Defined cases: null and empty texts match nothing and have the digest of an empty text; doc_id may be null and repeat: each
+row shows the licence and the notices of its own text; a notice that stands twice counts twice, its licence once; of two
+known texts of one form the first counts; a very long text is one row in one task, like any; other columns are ignored,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.components import own_exchange
+from tallywright.llm.decontaminate import let
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT = r"(?m)^[\x00-\x09\x0B-\x20/*#;-]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|<year>|\[year\])|\(c\)[ \t]|©)[^\n]*$"
 SIGNS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
-# Spellings that mean the same, as (regular expression on canonical words, spelling kept).
+# Spellings that mean the same, as (words, words kept).
 SPELLINGS = (
     ("licence", "license"),
     ("sub license", "sublicense"),
@@ -116,9 +117,26 @@ NAMES = (
     ("CC-BY-NC-SA-4.0", ("CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License")),
     ("CC-BY-NC-ND-4.0", ("CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License")),
 )
+# Digests of the canonical forms of whole licence texts as their stewards publish them.
+DIGESTS = (
+    ("Apache-2.0", "84ed161685d232dab5187a7a7101279668d583e8fcead2d41433e4fd4a1dbe68"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("CC0-1.0", "6e4a79b7eaf2cdc3879a899ef330c98026c9d697ee87d41a28ac5159e8e53348"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+)
 SUBJECTS = ("", "This work is ", "This file is ", "This software is ", "This project is ", "This document is ", "This text is ")
 VERBS = ("Licensed under ", "Released under ", "Distributed under ", "Available under ", "Published under ")
 ARTICLES = ("", "the ", "a ", "the terms of the ")
+SPDX = "SPDX-License-Identifier: "
 
 
 def known_texts() -> list[tuple[str, str]]:
@@ -128,48 +146,74 @@ def known_texts() -> list[tuple[str, str]]:
 def known_notices() -> list[tuple[str, str]]:
     """Every subject, verb and article before every name; and SPDX lines."""
     out = [(k, s + v + a + n) for k, names in NAMES for n in names for s, v, a in product(SUBJECTS, VERBS, ARTICLES)]
-    return out + [(k, f"SPDX-License-Identifier: {k}{end}") for k, _ in NAMES for end in ("", "-only", "-or-later")]
+    return out + [(k, SPDX + k + end) for k, _ in NAMES for end in ("", "-only", "-or-later")]
+
+
+def known_names() -> dict[str, str]:
+    """Canonical name, or identifier after ``SPDX``, to licence."""
+    own = {canonical(n): k for k, names in reversed(NAMES) for n in names}
+    return own | {canonical(SPDX + k + end): k for k, _ in NAMES for end in ("", "-only", "-or-later")}
+
+
+def _beginning() -> str:
+    """A notice's words before the name, as a regular expression on canonical words."""
+    some = ["|".join(sorted({canonical(x) + " " for x in words if x}, key=len, reverse=True)) for words in (SUBJECTS, VERBS, ARTICLES)]
+    return f"^(?:{some[0]})?(?:{some[1]})(?:{some[2]})?"
 
 
 def canonical_lines(text: Column) -> Column:
-    """Lower case, copyright lines out, signs to spaces, one spelling; line ends stay."""
+    """Lower case, copyright lines out, signs to spaces, one spelling; line ends stay. Each word has a space of its own on either
+    side until the spellings are done, so that only whole words are replaced."""
     out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     out = F.regexp_replace(out, COPYRIGHT, "")
-    out = F.regexp_replace(out, SIGNS, " ")
+    out = F.replace(F.regexp_replace(out, SIGNS, "  "), F.lit("\n"), F.lit(" \n "))
+    out = F.concat(F.lit(" "), out, F.lit(" "))
     for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return out
+        out = F.replace(out, F.lit(_spaced(old)), F.lit(_spaced(new)))
+    return F.replace(out, F.lit("  "), F.lit(" "))
+
+
+def _spaced(words: str) -> str:
+    return "".join(f" {w} " for w in words.split())
+
+
+def _joined(lines: Column) -> Column:
+    return F.btrim(F.regexp_replace(lines, "[ \n]+", " "), F.lit(" "))
 
 
 def canonical_text(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(canonical_lines(text), "[ \n]+", " "), F.lit(" "))
+    return _joined(canonical_lines(text))
 
 
 def canonical(text: str) -> str:
     """The same for one string; used for the known texts only."""
     out = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-    out = re.sub(SIGNS, " ", re.sub(COPYRIGHT, "", out))
+    out = " " + re.sub(SIGNS, "  ", re.sub(COPYRIGHT, "", out)).replace("\n", " \n ") + " "
     for old, new in SPELLINGS:
-        out = out.replace(old, new)
+        out = out.replace(_spaced(old), _spaced(new))
     return re.sub("[ \n]+", " ", out).strip(" ")
 
 
-def _table(spark, known: list[tuple[str, str]]) -> tuple[DataFrame, int]:
-    forms = {canonical(text): k for k, text in reversed(known)}
-    rows = sorted((hashlib.sha256(form.encode()).hexdigest(), k) for form, k in forms.items())
-    return F.broadcast(spark.createDataFrame(rows, "digest string, license string")), max(map(len, forms))
-
-
-def scan(documents: DataFrame) -> DataFrame:
-    """doc_id, text_sha256 (of the canonical text), license (of a whole text, or null), n_notices, notices (distinct, sorted, comma-joined)."""
-    spark = documents.sparkSession
-    texts, _ = _table(spark, known_texts())
-    notices, longest = _table(spark, known_notices())
-    whole = documents.select("doc_id", F.sha2(canonical_text(F.col("text")), 256).alias("text_sha256"))
-    whole = whole.join(texts, F.col("text_sha256") == F.col("digest"), "left").select("doc_id", "text_sha256", "license")
-    lines = documents.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.split(canonical_lines(F.col("text")), "\n")).alias("line"))
-    lines = lines.select("doc_id", F.btrim("line", F.lit(" ")).alias("line")).where((F.length("line") > 0) & (F.length("line") <= longest))
-    found = lines.select("doc_id", F.sha2("line", 256).alias("line_sha256")).join(notices, F.col("line_sha256") == F.col("digest"))
-    per = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("names"))
-    per = per.select(own_exchange(F.col("doc_id")).alias("of"), "n", "names")
-    return whole.join(per, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text_sha256", "license", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"), F.coalesce("names", F.lit("")).alias("notices"))
+def digest_of(text: str) -> str:
+    return hashlib.sha256(canonical(text).encode()).hexdigest()
+
+
+def scan(documents: DataFrame, more: list[tuple[str, str]] = ()) -> DataFrame:
+    """doc_id, text_sha256 (of the canonical text), license (of a whole text, or null), n_notices, notices (distinct, sorted, comma-joined).
+    ``more``: further licence texts as (name, text), some hundred at most."""
+    known = {d: k for k, d in reversed([*((k, digest_of(t)) for k, t in [*known_texts(), *more]), *DIGESTS])}
+    texts = F.broadcast(documents.sparkSession.createDataFrame(sorted(known.items()), "digest string, license string"))
+    names = known_names()
+    pairs = F.create_map(*(F.lit(x) for pair in sorted(names.items()) for x in pair))
+    longest, beginning = max(len(canonical(t)) for _, t in known_notices()), _beginning()
+
+    def notice(line: Column) -> Column:
+        return F.try_element_at(pairs, F.when(line.rlike(beginning), F.regexp_replace(line, beginning, "")).when(line.startswith(canonical(SPDX)), line))
+
+    def read(form: Column) -> Column:
+        lines = F.filter(F.transform(F.split(form, "\n"), lambda x: F.btrim(x, F.lit(" "))), lambda x: (F.length(x) > 0) & (F.length(x) <= longest))
+        return F.struct(F.sha2(_joined(form), 256).alias("text_sha256"), F.filter(F.transform(lines, notice), lambda x: x.isNotNull()).alias("found"))
+
+    each = documents.select("doc_id", let(canonical_lines(F.col("text")), read).alias("r")).select("doc_id", "r.*")
+    named = each.join(texts, F.col("text_sha256") == F.col("digest"), "left")
+    return named.select("doc_id", "text_sha256", "license", F.size("found").cast("long").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices"))
