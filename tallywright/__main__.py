@@ -1,4 +1,4 @@
-"""python -m tallywright ingest|run|checks|sql|survey|granularity|bulletins|gates|robots ...: the engine from the command line."""
+"""python -m tallywright ingest|run|checks|sql|graph|survey|granularity|bulletins|gates|robots ...: the engine from the command line."""
 
 from __future__ import annotations
 
@@ -38,6 +38,9 @@ def _parser() -> argparse.ArgumentParser:
         p = commands.add_parser(name, help=what)
         p.add_argument("--gates", required=True)
         p.add_argument("--registry", required=True)
+    p = commands.add_parser("graph", help="tables, what they're made from, what contains a judgment, and the checks of a build")
+    p.add_argument("--manifest", required=True)
+    p.add_argument("--results", required=True)
     p = commands.add_parser("ingest", help="get a source's files, verify them and put them below the raw folder")
     p.add_argument("--sources", required=True, help="TOML registry of sources")
     p.add_argument("--key", required=True, help="code:year")
@@ -80,6 +83,10 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "bulletins":
         _show({"bulletins": (surveys.bulletins(spark, a.files), ["file"])}, a.write)
         return 0
+    if a.command == "graph":
+        found = surveys.graph(spark, a.manifest, a.results)
+        _show({"nodes": (found["nodes"], ["stage", "label"]), "edges": (found["edges"], ["src", "dst"]), "checks": (found["checks"], ["ok", "name"]), "summary": (found["summary"], ["passed"])}, a.write)
+        return int(found["summary"].first()["failed"] > 0)
     if a.command == "gates":
         found = surveys.gates(spark, a.gates, a.registry)
         _show({"errors": (found["errors"], ["code", "error"]), "counts": (found["counts"], ["kind", "cell"]), "targets": (found["targets"], ["code"])}, a.write)

@@ -91,7 +91,7 @@ NODE_DDL = "id string, label string, kind string, stage string, description stri
 def topology(spark: SparkSession, manifest: dict) -> tuple[DataFrame, DataFrame]:
     """(nodes with ``contains_judgment``, edges src, dst) of a manifest's models, sources and seeds, in a fixed order: nodes by
     stage and label, edges by their ends. A path outside the stages, or a seed without a role, is an error."""
-    given = manifest.get("nodes", {}) | manifest.get("sources", {})
+    given = (manifest.get("nodes") or {}) | (manifest.get("sources") or {})
     kept = {k: v for k, v in given.items() if v["resource_type"] in ("model", "source", "seed")}
     nodes = spark.createDataFrame([tuple(_entry(k, v).values()) for k, v in kept.items()], NODE_DDL)
     pairs = [(src, k) for k, v in kept.items() for src in (v.get("depends_on") or {}).get("nodes") or []]
@@ -102,7 +102,7 @@ def topology(spark: SparkSession, manifest: dict) -> tuple[DataFrame, DataFrame]
 
 def tests_of(manifest: dict) -> list[tuple[str, str, str, list[str]]]:
     """(id, name, description, binds) of a manifest's tests, for ``bind_results``."""
-    tests = ((k, v) for k, v in manifest.get("nodes", {}).items() if v["resource_type"] == "test")
+    tests = ((k, v) for k, v in (manifest.get("nodes") or {}).items() if v["resource_type"] == "test")
     return [(k, v["name"], v.get("description") or "", (v.get("depends_on") or {}).get("nodes") or []) for k, v in tests]
 
 

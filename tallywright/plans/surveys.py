@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.functions import text
-from tallywright.model import BULLETINS_DDL, GATES_DDL, REGISTRY_DDL
-from tallywright.operators import aggregate, profile, schema
+from tallywright.model import BULLETINS_DDL, GATES_DDL, MANIFEST_DDL, REGISTRY_DDL, RESULTS_DDL
+from tallywright.operators import aggregate, lineage, profile, schema
 from tallywright.sources.http import Fetched
 from tallywright.sources.raw import decode_lenient, split_header
 from tallywright.sources.tables import binary_files, exploded_map, read_json
@@ -80,6 +80,15 @@ def gates(spark: SparkSession, path: str, registry_path: str) -> dict[str, DataF
     return {"errors": errors.orderBy("code", "error"), "counts": counts, "targets": profile.fetch_targets(rows).select("code", "transcript_url").orderBy("code")}
 
 
+def graph(spark: SparkSession, manifest_path: str, results_path: str) -> dict[str, DataFrame]:
+    """nodes, edges and checks of a build, from its manifest and its results; summary: how many checks passed, failed, warned."""
+    manifest = read_json(spark, manifest_path, MANIFEST_DDL).first().asDict(recursive=True)
+    results = read_json(spark, results_path, RESULTS_DDL).select(F.explode("results").alias("r")).select(F.col("r.unique_id").alias("id"), "r.status", "r.failures", "r.message")
+    nodes, edges = lineage.topology(spark, manifest)
+    checks = lineage.bind_results(spark.createDataFrame(lineage.tests_of(manifest), lineage.TEST_DDL), results)
+    return {"nodes": nodes, "edges": edges, "checks": checks, "summary": lineage.summarise_results(checks)}
+
+
 def robots(spark: SparkSession, path: str, registry_path: str, fetch: Callable[[str], Fetched]) -> DataFrame:
     """origin, codes, status, found, sha256, rules, reason: one request for each origin that the gates name."""
     document, registry = read_json(spark, path, GATES_DDL), read_json(spark, registry_path, REGISTRY_DDL)

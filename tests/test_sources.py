@@ -278,3 +278,19 @@ def test_http(spark, tmp_path, server, capsys):
     asked.clear()
     r = surveys.robots(spark, str(tmp_path / "gates.json"), str(tmp_path / "registry.json"), http.get).collect()
     assert len(r) == 1 and r[0].codes == ["131016", "131024"] and r[0].found and r[0].rules == "User-agent: *" and asked == ["/robots.txt"]
+
+
+def test_graph_of_a_build(spark, tmp_path):
+    from tallywright.__main__ import main
+    from tallywright.plans.budget_queries import MANIFEST, RESULTS
+
+    (tmp_path / "manifest.json").write_text(json.dumps(MANIFEST))
+    (tmp_path / "results.json").write_text(json.dumps({"results": [{"unique_id": i, "status": s, "failures": n, "message": m} for i, s, n, m in RESULTS]}))
+    paths = (str(tmp_path / "manifest.json"), str(tmp_path / "results.json"))
+    got = surveys.graph(spark, *paths)
+    assert [(r.label, r.contains_judgment) for r in got["nodes"].collect()] == [("raw", False), ("stg", False), ("core", True), ("public", False), ("rules", True), ("canon", False), ("derived", True)]
+    assert got["edges"].count() == 5 and tuple(got["summary"].first()) == (1, 2, 1)
+    assert main(["graph", "--manifest", paths[0], "--results", paths[1], "--write", str(tmp_path / "out")]) == 1
+    assert spark.read.json(str(tmp_path / "out/checks")).count() == 4
+    (tmp_path / "bulletins.json").write_text(json.dumps({"note": "", "datasets": {"131016": {"title": "t", "formats": ["CSV"], "url": None, "count": 1}, "x": {"title": None, "formats": [], "url": "no", "count": 0, "schemaCheck": {"conformance": "other"}}}}))
+    assert sorted(r.path for r in surveys.bulletin_registry(spark, str(tmp_path / "bulletins.json")).collect()) == ["code", "count", "schemaCheck", "title", "url"]
