@@ -82,26 +82,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 OP5_SQL = r"""
 WITH said AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () ELSE 0 END AS part, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 0, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
-    count(*) OVER (PARTITION BY conv_id) AS n,
+  SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, text) AS pos,
+    count(*) OVER (PARTITION BY conv_id, part) AS n,
     length('<|im_start|>') + 1 + length('<|im_end|>') + 1 + length(role) + length(text)
       + (length(role || text) - length(replace(role || text, '\', '')))
       + (length(role) - length(replace(role, '<|', '')) + length(text) - length(replace(text, '<|', ''))) // 2
       + (length(role) - length(replace(role, chr(10), ''))) AS size
   FROM said
 ), summed AS (
-  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY pos) AS so_far FROM numbered
+  SELECT *, sum(size) OVER (PARTITION BY conv_id, part ORDER BY pos) AS so_far FROM numbered
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(so_far) FILTER (WHERE role = 'assistant' OR pos = n) AS BIGINT) AS formatted_chars
-FROM summed GROUP BY conv_id
+FROM summed GROUP BY conv_id, part
 """
 
 def _op2_sql() -> str:
@@ -110,24 +110,48 @@ def _op2_sql() -> str:
 
     def one_spelling(sql: str) -> str:
         for old, new in licenses.SPELLINGS:
-            sql = f"replace({sql}, {quoted(old)}, {quoted(new)})"
+            sql = f"replace({sql}, {quoted(''.join(f' {w} ' for w in old.split()))}, {quoted(''.join(f' {w} ' for w in new.split()))})"
         return sql
 
     lower = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
-    lines = one_spelling(f"regexp_replace(regexp_replace({lower}, {quoted(licenses.COPYRIGHT)}, '', 'g'), {quoted(licenses.SIGNS)}, ' ', 'g')")
-    known = [("text", k, t) for k, t in licenses.known_texts()] + [("notice", k, t) for k, t in licenses.known_notices()]
-    values = ",".join(f"({quoted(kind)}, {quoted(k)}, {quoted(licenses.canonical(t))})" for kind, k, t in known)
+    spaced = f"' ' || replace(regexp_replace(regexp_replace({lower}, {quoted(licenses.COPYRIGHT)}, '', 'g'), {quoted(licenses.SIGNS)}, '  ', 'g'), chr(10), ' ' || chr(10) || ' ') || ' '"
+    forms = {}
+    for kind, known in (("text", licenses.known_texts()), ("notice", licenses.known_notices())):
+        for k, t in reversed(known):
+            forms[kind, licenses.digest_of(t)] = k
+    forms |= {("text", d): k for k, d in licenses.DIGESTS}
+    values = ",".join(f"({quoted(kind)}, '{d}', {quoted(k)})" for (kind, d), k in forms.items())
     return f"""
-WITH known AS (SELECT kind, said, min(license) AS license FROM (VALUES {values}) AS v(kind, license, said) GROUP BY kind, said),
-formed AS (SELECT doc_id, {lines} AS said FROM documents),
-whole AS (SELECT doc_id, trim(regexp_replace(said, '[ \n]+', ' ', 'g'), ' ') AS said FROM formed),
-lines AS (SELECT doc_id, trim(line, ' ') AS line FROM (SELECT doc_id, unnest(string_split(said, chr(10))) AS line FROM formed)),
-noted AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM lines JOIN known ON kind = 'notice' AND line = said GROUP BY doc_id)
-SELECT whole.doc_id, sha256(whole.said) AS text_sha256, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
-FROM whole LEFT JOIN known ON kind = 'text' AND known.said = whole.said LEFT JOIN noted ON noted.doc_id = whole.doc_id
+WITH known(kind, digest, license) AS (VALUES {values}),
+formed AS (SELECT doc_id, row_number() OVER () AS n, {one_spelling(f'({spaced})')} AS said FROM documents),
+whole AS (SELECT doc_id, n, sha256(trim(regexp_replace(said, '[ \n]+', ' ', 'g'), ' ')) AS digest FROM formed),
+lines AS (SELECT n, sha256(trim(regexp_replace(line, ' +', ' ', 'g'), ' ')) AS digest FROM (SELECT n, unnest(string_split(said, chr(10))) AS line FROM formed)),
+noted AS (SELECT n, count(*) AS notices, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM lines JOIN known ON kind = 'notice' AND known.digest = lines.digest GROUP BY n)
+SELECT whole.doc_id, whole.digest AS text_sha256, license, coalesce(notices, 0) AS n_notices, coalesce(names, '') AS notices
+FROM whole LEFT JOIN known ON kind = 'text' AND known.digest = whole.digest LEFT JOIN noted USING (n)
 """
 
 
+OP1_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM said
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * c >= 90 * (na + nb - c) UNION ALL SELECT b, a FROM shared WHERE 100 * c >= 90 * (na + nb - c)
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(least.b, doc_id)) AS component_id FROM sets LEFT JOIN least ON least.a = doc_id
+"""
+
 OP3_SQL = r"""
 WITH RECURSIVE given AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -174,4 +198,4 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM said LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_license_scans": _op2_sql(), "op3_embedding_near_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_chat_formatting": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1_SQL, "op2_license_scans": _op2_sql(), "op3_embedding_near_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_chat_formatting": OP5_SQL}

@@ -5,6 +5,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallywright.llm import components, decontaminate, embed_dedup, ngram_join
 
@@ -53,6 +54,52 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
     assert got == brute.ngram_components(rows, 3, 90, 100)
 
 
+@pytest.mark.parametrize("numerator", [90, 75])
+def test_ngram_join_of_large_units(spark, monkeypatch, numerator):
+    """More sets than hubs, several blocks, several components and outliers in one unit."""
+    monkeypatch.setattr(ngram_join, "MOST_SETS", 20)
+    monkeypatch.setattr(ngram_join, "JOINED", 2)
+    rng = random.Random(11)
+    rows = []
+    for g in range(3):
+        base = [f"b{i}" for i in range(30)] + [f"g{g}_{i}" for i in range(40)]
+        for _ in range(90):
+            copy = list(base)
+            for _ in range(rng.randrange(9)):
+                copy[rng.randrange(70)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    got = set(rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, numerator, 100), "doc_id", "n_shingles", "component_id"))
+    assert got == brute.ngram_components(rows, 3, numerator, 100)
+
+
+def test_sets_of_a_unit_are_sent_about_once(spark):
+    """A group of near copies: places grow in proportion to the group."""
+    for n in (2_000, 20_000):
+        members = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("unit"), F.lit(100).cast("long").alias("n_shingles"))
+        placed = ngram_join._placed(members)
+        sent = placed.select(F.when(F.col("hub"), F.col("blocks")).otherwise(1).alias("n")).agg(F.sum("n")).first()[0]
+        assert sent < 1.2 * n
+        joined = spark.range(1, n - n // 100).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component")).unionByName(spark.createDataFrame([(0, 0)], "node bigint, component bigint"))
+        assert ngram_join._undecided(placed, joined).count() < 4 * n
+
+
+@pytest.mark.parametrize("k,numerator", [(3, 80), (5, 80), (1, 90), (2, 60)])
+def test_ngram_join_of_short_texts(spark, k, numerator):
+    """Few shingles: the plans "deletions" and "subsets"."""
+    rng = random.Random(k)
+    rows = []
+    for _ in range(120):
+        base = [f"w{rng.randrange(60)}" for _ in range(rng.randrange(3, 34))]
+        for _ in range(4):
+            copy = list(base)
+            if rng.random() < 0.8:
+                at = rng.choice((0, len(copy) - 1, rng.randrange(len(copy))))
+                copy[at : at + 1] = [f"w{rng.randrange(60)}" for _ in range(rng.randrange(3))]
+            rows.append((len(rows), " ".join(copy)))
+    got = set(rows_of(ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string"), k, numerator, 100), "doc_id", "n_shingles", "component_id"))
+    assert got == brute.ngram_components(rows, k, numerator, 100)
+
+
 def test_ngram_join_odd_rows(spark, odd, nothing):
     got = sorted(rows_of(ngram_join.ngram_components(odd, 3, 90, 100), "doc_id", "n_shingles", "component_id"), key=repr)
     assert (1, 0, 1) in got and (2, 0, 2) in got and (3, 0, 3) in got and (4, 1, 4) in got
@@ -99,6 +146,20 @@ def test_decontamination_equals_brute_force(spark, documents, sf_dir):
     assert set(rows_of(decontaminate.contamination(documents, bench), *names)) == brute.contamination(given, [(r.item_id, r.text) for r in bench.collect()])
 
 
+def test_words_are_counted_and_least_neighbours_found(spark):
+    texts = [None, "", " ", "a", " a", "a ", "!a b!", "Ab-Cd", "é!é", "\n", "!!!", " !a", "中 B"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(F.size(decontaminate.words_of(F.col("t"))), decontaminate.n_words(F.col("t"))).collect()]
+    assert got == [(len(brute.item_words(t)),) * 2 for t in texts]
+    given = [5, 3, 9, 1, 7, 7, 2, 8]
+    columns, want = [], []
+    for n in range(9):
+        for w in (1, 2, 3, 5, 8, 9):
+            columns.append(decontaminate._least_of(F.array(*map(F.lit, given[:n])).cast("array<bigint>"), w).alias(f"c{n}_{w}"))
+            want.append([min(given[:n][i : i + w]) for i in range(max(0, n - w + 1))])
+    assert list(spark.range(1).select(*columns).first()) == want
+
+
 def test_decontamination_odd_rows(spark, odd, nothing):
     bench = spark.createDataFrame([(1, "one two")], "item_id bigint, text string")
     got = {r.doc_id: r.n_hit for r in decontaminate.contamination(odd, bench).collect() if r.doc_id is not None}
@@ -116,6 +177,18 @@ def test_decontamination_tells_rows_without_or_of_one_id_apart(spark):
     assert len(got) == 5 and set(got) == brute.contamination(docs, [(1, "one two three")])
 
 
+def test_range_join_finds_all_in_reach():
+    rng = np.random.default_rng(4)
+    for dims, radius in ((1, 0.1), (2, 0.3), (5, 0.6), (8, 1.5), (8, 50.0)):
+        own, other = rng.normal(size=(300, dims)).astype(np.float32), 1.3 * rng.normal(size=(200, dims)).astype(np.float32)
+        found = np.zeros((200, 300), bool)
+        join = embed_dedup.RangeJoin(own, radius)
+        join.mark(other, found)
+        apart = ((other[:, None, :].astype(float) - own[None, :, :]) ** 2).sum(2)
+        assert (found | (apart > radius**2 - 1e-4)).all() and not (found & (apart > radius**2 + 1e-4)).any()
+    assert join.seen <= 200 * 300
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(6, 24))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -124,18 +125,21 @@ def test_packing(spark, odd, nothing, documents, tokenizer, encoded):
             assert s == at
             at += n
         assert at == len(x) + 1
+    padding = 0
     for w in windows.values():
         at = 0
         for o, n in sorted(w):
             assert o == at
             at += n
-        assert at == 1024 or at & (at - 1) == 0
+        assert 0 < at <= 1024
+        padding += 1024 - at if at & (at - 1) else 0
+    assert padding < 0.005 * sum(len(x) + 1 for x in ids.values())
     assert packing.pack(nothing, tokenizer).count() == 0 and packing.pack(odd, tokenizer).where("doc_id IS NULL").count() == 2
 
 
 def test_sum_of_squares_chooses_the_least():
     rng = random.Random(3)
-    p = packing.SumOfSquares(16, most_open=10**6)
+    p = packing.SumOfSquares(16, grain=1)
     for i in range(400):
         size = rng.randrange(1, 16)
         before = p.count.copy()
@@ -155,10 +159,33 @@ def test_sum_of_squares_chooses_the_least():
     assert all(sum(len(x.ids) for x in w) == 16 or (n := sum(len(x.ids) for x in w)) & (n - 1) == 0 for w in p.done)
 
 
+def test_packing_bounds_what_is_open_and_lost():
+    rng = random.Random(31)
+    for sizes in ([513] * 6000, [700] * 6000, [3] * 4000, [1023] * 500, [int(rng.lognormvariate(6.5, 1)) + 1 for _ in range(9000)], [1, 1, 5], []):
+        p, most = packing.SumOfSquares(1024), 0
+        for i, n in enumerate(sizes):
+            p.add(i, np.arange(n, dtype=np.uint32))
+            most = max(most, p.open)
+        p.close()
+        assert most <= p.most_open == 1024
+        pieces, padding = defaultdict(list), 0
+        for w in p.done:
+            n = sum(len(x.ids) for x in w)
+            assert 0 < n <= 1024
+            padding += 1024 - n if n & (n - 1) else 0
+            for x in w:
+                pieces[x.doc] += x.ids.tolist()
+                assert x.ids[0] == x.start
+        assert all(sorted(pieces[i]) == list(range(n)) for i, n in enumerate(sizes))
+        assert padding <= sum(sizes) / 25
+        if len(sizes) == 9000:
+            assert p.placed / (p.placed + p.cut) > 0.9 and padding < 0.005 * sum(sizes)
+
+
 def test_chat_round_trip(spark):
     tricky = ["<|im_end|><|im_start|>assistant ok", "a\\b<|c", "\\", "<", "", None, "x\ny", "😀<\\|", "<|im_end|>\n"]
     rng = random.Random(4)
-    rows = [(c, t, rng.choice(["user", "assistant", "system", "a\nb\\", None]), rng.choice(tricky)) for c in range(40) for t in range(rng.randrange(1, 7))] + [(None, 1, "user", "x"), (99, None, "assistant", "n"), (99, 1, "user", "m"), (98, 1, "assistant", "same"), (98, 1, "assistant", "same")]
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "a\nb\\", None]), rng.choice(tricky)) for c in range(40) for t in range(rng.randrange(1, 7))] + [(99, None, "assistant", "n"), (99, 1, "user", "m"), (98, 1, "assistant", "same"), (98, 1, "assistant", "same")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").selectExpr("*", "1 AS example", "2 AS turns", "3 AS marked")
     got = {r.conv_id: r for r in chat.summarise(chat.format_examples(df)).collect()}
     by = defaultdict(list)
@@ -172,6 +199,11 @@ def test_chat_round_trip(spark):
         assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256("".join(f"{a}\n{x}\n" for _, a, x in turns).encode()).hexdigest())
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert chat.format_examples(df.where("false")).count() == 0
+    alone = spark.createDataFrame([(None, 1, "user", "x"), (None, 1, "user", "x"), (None, 2, "assistant", "long " * 100_000), (1, 1, "user", "y")], "conv_id bigint, turn bigint, role string, text string")
+    assert sorted((r.n_turns, r.loss_chars) for r in chat.summarise(chat.format_examples(alone)).where("conv_id IS NULL").collect()) == [(1, 0), (1, 0), (1, 500_000)]
+    long = spark.createDataFrame([(1, t, "assistant" if t % 2 else "user", f"{t} " * 200) for t in range(300)], "conv_id bigint, turn bigint, role string, text string")
+    r = chat.summarise(chat.format_examples(long)).first()
+    assert r.n_turns == 300 and r.loss_sha256 == hashlib.sha256("".join(f"{t} " * 200 for t in range(1, 300, 2)).encode()).hexdigest()
     for e in chat.format_examples(df.where("conv_id = 98")).collect():
         assert e.formatted[e.loss_start : e.loss_end] == "same"
 
@@ -210,6 +242,63 @@ def test_secrets_glued_to_names_and_spans():
         assert secrets.scan_text(text) == []
 
 
+def test_random_spans_equal_brute_force(documents):
+    rng = random.Random(51)
+    words = "the quick internationalisation of_some_names path/to/Some/File CamelCaseName aaaaaaaaaaaaaaaaaaaaaaaa1 20240101T000000Z token=abcdefghijkl0 =".split()
+    texts = [r.text for r in documents.select("text").collect()]
+    for _ in range(400):
+        parts = [rng.choice(words) for _ in range(rng.randrange(1, 30))]
+        for _ in range(rng.randrange(4)):
+            alphabet = rng.choice(brute.ALPHABETS)
+            parts.insert(rng.randrange(len(parts)), rng.choice(["", "key=", "x_", "a/"]) + "".join(rng.choice(alphabet) for _ in range(rng.randrange(12, 60))) + rng.choice(["", "=", "==", "&b"]))
+        texts.append(rng.choice([" ", " ", ", ", ""]).join(parts))
+    found = 0
+    for text in texts:
+        got = [(s, e) for s, k, _, e in secrets.scan_text(text or "") if k == 3]
+        assert got == brute.random_spans(text or ""), text
+        found += len(got)
+    assert found > 200
+
+
+def test_scores_equal_plain_sums(spark):
+    """The score of a text, word by word from the model's features."""
+    rng = random.Random(52)
+    vocabulary = [f"{a}{b}{c}" for a in ("vile", "calm", "nice", "nasty", "é") for b in ("", "ness", "ly") for c in ("", "x")]
+    hashes = {}
+    for w in vocabulary:
+        for _, _, h, _ in toxicity._blocks(pa.array([w])):
+            hashes[w] = [int(x[0]) for x in h]  # the word, then its heads of 3, 4 and 5 bytes, 0 where it's no longer
+    features = sorted({h for v in hashes.values() for h in v if h})
+    low, high = {}, {}
+    for f in features:
+        low[f], high[f] = rng.choice([0.0, 0.4, 2.5, 5.0]), rng.choice([0.5, 3.0, 6.0])
+    m = toxicity.Model(np.array(features, np.uint64), np.array([low[f] for f in features]), np.array([high[f] for f in features]), 0.5, 1.1, 0.02, 0.05, (-2.0, 1.5, 0.7))
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(60))) for _ in range(60)]
+
+    def plain(text):
+        scores = []
+        for w in text.split():
+            word, *heads = hashes[w]
+            known = [h for h in (*heads, word) if h]
+            scores.append(min(max(0.0, *(low[h] for h in known)), max(high[known[-1]], 0.0)) - 0.5)
+        parts = []
+
+        def cut(lo, hi):
+            best = max(((sum(scores[i:j]), i - j, i, j) for i in range(lo, hi) for j in range(i + 1, hi + 1)), default=(0, 0, 0, 0))
+            if best[0] > 1e-12:
+                parts.append(best[0])
+                cut(lo, best[2])
+                cut(best[3], hi)
+
+        cut(0, len(scores))
+        logs = [1.1 * s - np.log(0.02 * max(len(scores), 1)) for s in parts]
+        best, total = max(logs, default=-np.log(0.02 * max(len(scores), 1))), sum(x for x in logs if x > -np.log(0.05))
+        return 1 / (1 + np.exp(-(-2.0 + 1.5 * min(max(best, -5), 10) / 5 + 0.7 * np.log1p(max(total, 0)))))
+
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), m).collect()}
+    assert max(abs(got[i] - plain(t)) for i, t in enumerate(texts)) < 1e-9
+
+
 def test_maximal_segments():
     rng = random.Random(6)
 
@@ -262,6 +351,43 @@ def test_toxicity_calibrates_on_all_segments(spark):
     assert len(scored.passages) == 100 and abs(shown["total"] - sum(p.evidence for p in scored.passages)) < 1e-6
 
 
+def test_expectation_maximisation_finds_the_unreliable_labellers():
+    """Two kinds of junk, each seen by two labellers; a fifth votes bad on a quarter of all texts, a sixth on a tenth of the good ones."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    kind = rng.choice(3, n, p=(0.8, 0.12, 0.08))
+    wrong = np.array([[0.01, 0.9, 0.02], [0.02, 0.8, 0.01], [0.01, 0.01, 0.85], [0.01, 0.02, 0.95], [0.25, 0.25, 0.25], [0.1, 0.0, 0.0]])
+    bad = rng.random((n, 6)) < wrong[:, kind].T
+    votes = np.where(rng.random((n, 6)) < 0.1, quality.NOTHING, np.where(bad, quality.BAD, quality.GOOD))
+    patterns, which, weight = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    post, rates, prior = quality.expectation_maximisation(patterns, weight.astype(float), 200)
+    said = post[which.ravel()] > 0.5
+    naive = ~(votes == quality.BAD).any(1)
+    known = np.stack([np.log(p) + (votes == quality.BAD) @ np.log(wrong[:, k] + 1e-4) + (votes == quality.GOOD) @ np.log(1 - wrong[:, k]) for k, p in enumerate((0.8, 0.12, 0.08))])
+    best = ((known.argmax(0) == 0) == (kind == 0)).mean()  # by one who knows all rates
+    assert (said == (kind == 0)).mean() > best - 0.02 > 0.94 and (naive == (kind == 0)).mean() < 0.8
+    assert abs(prior - 0.8) < 0.02
+    assert np.abs(rates[:, 1] - wrong[:, 0]).max() < 0.02, rates
+    junk = (wrong[:, 1] * 0.12 + wrong[:, 2] * 0.08) / 0.2
+    assert np.abs(rates[:, 0] - junk).max() < 0.05, rates
+    # One text at a time gives what counted patterns give.
+    one, other, share = quality.expectation_maximisation(votes, np.ones(n), 200)
+    assert np.abs(one - post[which.ravel()]).max() < 1e-6 and np.abs(other - rates).max() < 1e-6 and abs(share - prior) < 1e-9
+
+
+def test_quality_collects_a_bounded_sample(spark, monkeypatch):
+    rows = [(7, f"copy of one text {i % 2}") for i in range(5000)] + [(i, f"text number {i} of some others") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(quality, "expectation_maximisation", lambda votes, *_: (np.linspace(0, 1, len(votes)), None, 0.5))
+    seen = []
+    monkeypatch.setattr(quality, "linear", lambda x, y, t: (seen.append(len(x)), (np.zeros(x.shape[1], np.float32), 0.0))[1])
+    quality.fit(df.unionByName(spark.createDataFrame([(99, "### *** $$$ %%%")], df.schema)), quality.Training(rows=30))
+    assert seen == [30]
+    seen.clear()
+    quality.fit(df.unionByName(spark.createDataFrame([(99, "### *** $$$ %%%")], df.schema)))
+    assert seen == [53]
+
+
 def test_quality_rejects_junk_and_keeps_the_rest(spark, odd, nothing):
     rng = random.Random(8)
     words = ["the", "of", "and", *(f"ab{chr(97 + i % 26)}{chr(97 + i // 26)}er" for i in range(300))]
@@ -293,9 +419,37 @@ def test_quality_rejects_junk_and_keeps_the_rest(spark, odd, nothing):
 def test_licenses(spark, odd, nothing):
     mit = "The MIT License (MIT)\n\nCopyright (c) 2020 Someone\n\n" + licenses.MIT.replace("sublicense", "sub-license").upper()
     wrapped = "\n".join(licenses.BSD_END.split(". "))
-    texts = [mit, licenses.ISC.lower(), licenses.MIT + " more", "x\nreleased under the mit licence\nThis work is licensed under the GNU General Public License, version 3.", "© 2021 A\n" + licenses.BSD_START + licenses.BSD_THIRD + wrapped.replace("\n", ".\n"), None, ""]
+    texts = [mit, licenses.ISC.lower(), licenses.MIT + " more", "x\nreleased under the mit licence\nThis work is licensed under the GNU General Public License, version 3.", "© 2021 A\n" + licenses.BSD_START + licenses.BSD_THIRD + wrapped.replace("\n", ".\n"), None, "", "Our own terms:\ngive, per century, to the landowner"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc_id: (r.license, r.n_notices, r.notices) for r in licenses.scan(df).collect()}
     assert got[0][0] == "MIT" and got[1][0] == "ISC" and got[2] == (None, 0, "") and got[3] == (None, 2, "GPL-3.0,MIT") and got[4][0] == "BSD-3-Clause" and got[5] == got[6] == (None, 0, "")
     assert licenses.scan(nothing).count() == 0 and licenses.scan(odd).count() == 13
     assert len({licenses.canonical(t) for _, t in licenses.known_texts()}) == len(licenses.known_texts())
+    assert licenses.canonical("landowner owner, Owners owner owner per century") == "landowner holder owners holder holder per century"
+    own = {r.doc_id: r.license for r in licenses.scan(df, [("House", "our own terms -- GIVE per century to the landowner")]).collect()}
+    assert own[7] == "House" and own[0] == "MIT"
+
+
+def test_licenses_count_notices_by_row(spark):
+    notice = "Released under the MIT License."
+    rows = [(1, notice), (1, notice), (1, "nothing"), (None, f"a\n{notice}\nb\n{notice}"), (None, "SPDX-License-Identifier: GPL-3.0-or-later"), (2, f"{notice} And more.")]
+    got = sorted((str(r.doc_id), r.n_notices, r.notices) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == sorted([("1", 1, "MIT"), ("1", 1, "MIT"), ("1", 0, ""), ("None", 2, "MIT"), ("None", 1, "GPL-3.0"), ("2", 0, "")])
+
+
+def test_every_known_notice_is_found(spark):
+    known = dict(map(reversed, licenses.known_notices()))
+    lines = [(i, text) for i, text in enumerate(known)]
+    got = {r.doc_id: r.notices for r in licenses.scan(spark.createDataFrame(lines, "doc_id bigint, text string")).collect()}
+    assert all(got[i] == known[t] for i, t in lines)
+
+
+def test_digests_of_whole_licence_texts(spark):
+    folder = "/usr/share/common-licenses"
+    names = {"GPL-3": "GPL-3.0", "Apache-2.0": "Apache-2.0", "MPL-2.0": "MPL-2.0"}
+    there = [n for n in names if os.path.exists(f"{folder}/{n}")]
+    if not there:
+        pytest.skip("no licence texts on this machine")
+    rows = [(n, open(f"{folder}/{n}").read().replace("\n", "\r\n")) for n in there]
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {n: names[n] for n in there}
