@@ -7,12 +7,14 @@ the same fingerprint, so every shared span is found. Items of fewer than 13 word
 the hash of all their words; documents then also give the hashes of their runs of those lengths.
 
 Fingerprints are joined; around each hit the document's windows that can hold it are compared as strings with the
-items' windows, so results are exact. Item tables are broadcast only below ``SMALL`` rows, else both sides are
+items' windows, so results are exact. Item tables are broadcast only below ``SMALL`` bytes, else both sides are
 dealt by key. Texts are shuffled only to meet the documents with a hit.
 
 Defined cases: null or empty texts have no words, are never hit, and as items have no window; doc_id may be null or
 repeat, as rows are told apart by a 128-bit digest of doc_id and text; repeated rows each give the same result row;
-repeated items count by item_id; other columns are ignored.
+repeated items count by item_id; a tie of hashes costs a comparison, nothing more, as windows are compared as strings; a very long text is
+one row's array of words in one task; other columns are ignored, whatever their names; an empty table of documents gives no rows, one of
+items no hits.
 """
 
 from __future__ import annotations
@@ -26,15 +28,27 @@ from tallywright.llm.components import own_exchange, row_digest
 from tallywright.llm.scratch import materialise
 
 SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same for text whose capitals are still there.
+SIGNS_AND_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of an item table (16 to about 200 bytes each) that are still broadcast.
-SMALL = 100_000
+#: Bytes of an item table that are still broadcast.
+SMALL = 16 << 20
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SIGNS), "")
 
 
+def n_words(text: Column) -> Column:
+    """``size(words_of(text))`` without making the words: what lies between signs, less the empty ends."""
+
+    def inner(parts: Column) -> Column:
+        ends = (F.element_at(parts, 1) == "").cast("int") + ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
+        return F.size(parts) - ends
+
+    return let(F.split(F.coalesce(text, F.lit("")), SIGNS_AND_CASE), inner)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often a nested lambda reads it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -50,8 +64,21 @@ def gram_hashes(hashes: Column, gram: int) -> Column:
     return F.transform(_upto(F.size(hashes) - (gram - 1)), lambda i: F.xxhash64(*(F.element_at(hashes, i + j) for j in range(gram))))
 
 
+def _least_of(values: Column, window: int) -> Column:
+    """The least of every ``window`` neighbours, in a logarithm of ``window`` passes: each pass doubles what a value stands for."""
+
+    def pass_(held: Column, so_far: int) -> Column:
+        if so_far == window:
+            return F.slice(held, F.lit(1), F.greatest(F.size(values) - (window - 1), F.lit(0)))
+        step = min(so_far, window - so_far)
+        paired = let(held, lambda h: F.zip_with(h, F.slice(h, F.lit(step + 1), F.size(h)), lambda a, b: F.least(a, b)))
+        return pass_(paired, so_far + step)
+
+    return pass_(values, 1)
+
+
 def _kept(grams: Column, window: int) -> Column:
-    return F.array_distinct(F.transform(_upto(F.size(grams) - (window - 1)), lambda i: F.array_min(F.slice(grams, i, window))))
+    return F.array_distinct(_least_of(grams, window))
 
 
 def fingerprints(words: Column, span: int, gram: int, short: list[int]) -> Column:
@@ -65,9 +92,10 @@ def fingerprints(words: Column, span: int, gram: int, short: list[int]) -> Colum
 
 
 def _small(df: DataFrame, name: str) -> DataFrame:
-    """Written down, so that its size is known; broadcast if that is small."""
+    """Written down, so that its size in bytes is known; broadcast if that is small."""
     made = materialise(df, name)
-    return F.broadcast(made) if made.limit(SMALL + 1).count() <= SMALL else made
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in made.columns), F.lit(0))
+    return F.broadcast(made) if (made.agg(F.sum(size).alias("n")).first()["n"] or 0) <= SMALL else made
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -83,8 +111,9 @@ def matches(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: in
     own = F.when(F.size("words") >= span, fingerprints(F.col("words"), span, gram, [])).otherwise(F.array(let(F.transform("words", lambda w: F.xxhash64(w)), lambda h: _whole(h, short))))
     prints = _small(items.select(F.explode(own).alias("print")).distinct(), "item-prints")
     size = F.least(F.size("words"), F.lit(span))
-    windows = items.select("item_id", size.alias("n"), F.explode(_upto(F.size("words") - size + 1)).alias("i"), "words")
-    windows = _small(windows.select("item_id", "n", F.array_join(F.slice("words", F.col("i"), F.col("n")), " ").alias("window")).distinct(), "item-windows")
+    # Windows are cut out inside the array, so that no row carries all words along.
+    said = F.transform(_upto(F.size("words") - size + 1), lambda i: F.array_join(F.slice("words", i, size), " "))
+    windows = _small(items.select("item_id", size.alias("n"), F.explode(said).alias("window")).distinct(), "item-windows")
 
     rows = keyed(documents)
     mine = rows.select("row_a", "row_b", F.explode(fingerprints(words_of(F.col("text")), span, gram, short)).alias("fp"))
@@ -108,9 +137,12 @@ def matches(documents: DataFrame, benchmark: DataFrame, span: int = 13, gram: in
             lambda g: F.transform(F.filter(_upto(F.size(g)), lambda i: F.array_contains(fps, F.element_at(g, i))), lambda i: _window(i, F.lit(s))),
         )
 
-    # One struct holds all, bound once, so that nothing is computed anew for an element.
-    places = let(F.struct("hashes", "fps", F.size("words").alias("n")), lambda s: around(s["hashes"], s["fps"], s["n"]))
-    tried = hashed.select("row_a", "row_b", "words", F.explode(places).alias("w")).select("row_a", "row_b", F.col("w.i").alias("i"), F.col("w.n").alias("long"), F.array_join(F.slice("words", F.col("w.i"), F.col("w.n")), " ").alias("said"))
+    # One struct holds all, bound once, so that nothing is computed anew for an element; the words of each window are cut out
+    # there, so that no row carries all words along.
+    def tried_in(s: Column) -> Column:
+        return F.transform(around(s["hashes"], s["fps"], F.size(s["words"])), lambda w: F.struct(w["i"].alias("i"), w["n"].alias("long"), F.array_join(F.slice(s["words"], w["i"], w["n"]), " ").alias("said")))
+
+    tried = hashed.select("row_a", "row_b", F.explode(let(F.struct("words", "hashes", "fps"), tried_in)).alias("w")).select("row_a", "row_b", "w.*")
     same = tried.join(windows, (F.col("said") == F.col("window")) & (F.col("long") == F.col("n")))
     return same.groupBy("row_a", "row_b").agg(F.collect_set(F.struct("i", "n")).alias("hits"), F.collect_set("item_id").alias("items"))
 
@@ -143,7 +175,7 @@ def contamination_by_row(documents: DataFrame, benchmark: DataFrame, span: int =
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["i"], h["i"] + h["n"] - 1)))))
     named = F.array_join(F.array_sort(F.array_distinct(F.transform("items", lambda x: x.cast("string")))), ",")
     per = found.select(own_exchange(F.col("row_a")).alias("hit_a"), own_exchange(F.col("row_b")).alias("hit_b"), covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(named, 256).alias("items_sha256"))
-    counted = keyed(documents).select("row_a", "row_b", "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    counted = keyed(documents).select("row_a", "row_b", "doc_id", n_words(F.col("text")).cast("long").alias("n_words"))
     every = counted.join(per, (F.col("row_a") == F.col("hit_a")) & (F.col("row_b") == F.col("hit_b")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     return every.select(
