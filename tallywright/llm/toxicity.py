@@ -1,11 +1,14 @@
 """Toxicity by maximum-scoring segments.
 
-Training (on at most ``Training.rows`` labelled rows, those with the least hash of doc_id; so it is bounded
-and the same at any size). Three quarters of them give, for each word and each word head of 3 to 5 bytes, the
-numbers of toxic and clean documents that hold it, and from these its log-odds under an informative
-Dirichlet prior proportional to its share of all documents (Monroe et al., 2008). Kept are at most
-``Training.features`` features, those in most documents; a word scores as the best lower confidence bound of its kept
-features, up to the upper bound of the longest of them, less a drift that makes ordinary text lose.
+Training (on at most ``Training.rows`` labelled rows, those with the least hash of doc_id among labels whose document exists;
+so it is bounded and the same at any size). Of rows with one label that agree in both the least and the greatest hash of
+five words (most near copies do) one stays, so that a text which is copied often doesn't weigh more than others. Three
+quarters of the rest give, for each word and each word head of 3 to 5 bytes, the numbers of toxic and clean
+documents that hold it, and from these its log-odds under an informative Dirichlet prior proportional to its share of
+all documents (Monroe et al., 2008). Kept are features of a weight of ``least_weight`` documents: as a document's
+features weigh 4 * ``usual_words`` at most, these are fewer than 4 * usual_words * rows / least_weight, 5.4 million rows of
+three numbers. A word scores as the best lower confidence bound of its kept features, up to the upper bound of the
+longest of them, less a drift that makes ordinary text lose.
 
 Scoring, one pass over whole texts: a linear scan (Ruzzo and Tompa, 1999) gives all maximal segments of a
 document's word scores. A segment of score S in a text of n words has, after Karlin and Altschul (1990), an
@@ -17,7 +20,8 @@ turns both into the probability.
 Defined cases: null and empty texts score like a text without any passage; labels that are null or whose document is
 missing don't count; of a doc_id that is labelled more than once the largest label counts; without toxic or
 without clean training rows every score is the share of toxic rows (0 if there are none); doc_id may be null
-(it is then not held out); repeated rows are scored each.
+(it is then not held out); repeated rows are scored each; of equal segments all count; a very long text is scanned whole, by itself; other
+columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.llm import textkernel as tk
-from tallywright.llm.scratch import materialise, small_batches
+from tallywright.llm.components import own_exchange
+from tallywright.llm.scratch import discard, materialise, small_batches
 
 HEADS = (3, 4, 5)
 
@@ -39,7 +44,6 @@ HEADS = (3, 4, 5)
 @dataclass(frozen=True)
 class Training:
     rows: int = 20_000
-    features: int = 200_000
     least_weight: float = 3.0
     usual_words: int = 200
     prior: float = 10.0
@@ -148,20 +152,20 @@ def _counts(usual: int):
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The least hash of five words, by which most near copies agree, behind each row."""
+    """The least and the greatest hash of five words, in both of which most near copies agree, behind each row."""
     for batch in batches:
         for lo, hi, data, offsets in tk.string_blocks(batch.column(1)):
             _, _, hashes, rows = tk.words(data, offsets, tk.ALPHANUMERIC)
             grams, of = tk.grams(hashes, rows, 5)
-            least = np.zeros(hi - lo, np.uint64)
+            least, most = np.zeros(hi - lo, np.uint64), np.zeros(hi - lo, np.uint64)
             first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
             if len(of):
-                least[of[first]] = np.minimum.reduceat(grams, first)
+                least[of[first]], most[of[first]] = np.minimum.reduceat(grams, first), np.maximum.reduceat(grams, first)
             part = batch.slice(lo, hi - lo)
             short = np.ones(hi - lo, bool)  # texts of fewer words stand for themselves
             short[of[first]] = False
             least[short] = tk.mix(part.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)[short].astype(np.uint64))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least.view(np.int64))], [*batch.schema.names, "sketch"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least.view(np.int64)), pa.array(most.view(np.int64))], [*batch.schema.names, "least", "most"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, t: Training = Training()) -> Model:
@@ -169,12 +173,16 @@ def fit(documents: DataFrame, labels: DataFrame, t: Training = Training()) -> Mo
     spark = documents.sparkSession
     small_batches(spark)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    there = documents.select(own_exchange(F.col("doc_id").cast("long")).alias("there")).distinct()
+    known = known.join(there, F.col("doc_id") == F.col("there"), "left_semi")
     chosen = known.select(F.col("doc_id").alias("id"), (F.col("toxic") > 0).cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(t.rows)
     # At most t.rows rows of two numbers.
     drawn = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "toxic")
-    sketched = drawn.mapInArrow(_sketch, "doc_id long, text string, toxic int, sketch long")
+    sketched = drawn.mapInArrow(_sketch, "doc_id long, text string, toxic int, least long, most long")
     first = F.min_by(F.struct("doc_id", "text", "toxic"), "doc_id")
-    rows = materialise(sketched.groupBy("sketch", "toxic").agg(first.alias("r")).select("r.*"), "labelled")
+    once = sketched.groupBy("least", "most", "toxic").agg(first.alias("r")).select("r.*")
+    # Of a doc_id with several texts one is taken, so that the bound on ids is one on rows.
+    rows = materialise(once.groupBy("doc_id").agg(F.min_by(F.struct("doc_id", "text", "toxic"), F.xxhash64("text")).alias("r")).select("r.*"), "labelled")
     last = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3
     n_pos, n_neg = (float(x or 0) for x in rows.where(~last).agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
     share = n_pos / max(n_pos + n_neg, 1)
@@ -183,7 +191,7 @@ def fit(documents: DataFrame, labels: DataFrame, t: Training = Training()) -> Mo
     if not n_pos or not n_neg:
         return empty
     counted = rows.where(~last).select("text", "toxic").mapInArrow(_counts(t.usual_words), "feature long, pos double, neg double").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    kept = counted.where(F.col("pos") + F.col("neg") >= t.least_weight).orderBy(F.desc(F.round(F.col("pos") + F.col("neg"), 6)), "feature").limit(t.features).toPandas()
+    kept = counted.where(F.col("pos") + F.col("neg") >= t.least_weight).orderBy("feature").toPandas()
     keys = kept["feature"].to_numpy(np.int64).view(np.uint64)
     pos, neg = kept["pos"].to_numpy(float), kept["neg"].to_numpy(float)
     prior = t.prior * (pos + neg) / (n_pos + n_neg)
@@ -198,6 +206,7 @@ def fit(documents: DataFrame, labels: DataFrame, t: Training = Training()) -> Mo
     clean = best[best["toxic"] == 0]
     lam, k = gumbel(clean["best"].to_numpy(), clean["n"].to_numpy())
     shown = _evidence(rows.where(last), Model(keys, low, high, t.drift, lam, k, t.significant, (flat, 0.0, 0.0)))
+    discard(rows)
     weights = logistic(shown[["best", "total"]].to_numpy(), shown["toxic"].to_numpy(float))
     return Model(keys, low, high, t.drift, lam, k, t.significant, weights)
 
