@@ -2,7 +2,8 @@
 
 The library encodes pretoken by pretoken (words with their leading space, numbers, marks, white space), and
 few pretokens are new. So blocks of texts are cut into pretokens with array operations, each distinct one is
-encoded by the library once per worker, and ids are gathered from there. Character classes are asked from the
+given to the library's model once per worker (as the signs that stand for its bytes, which is what the library's own
+pipeline hands to it), and ids are gathered from there. Character classes are asked from the
 library too, so its Unicode version decides. Texts that hold an added token's string, and tokenizers with any
 other pipeline, go through the library as a whole.
 """
@@ -20,6 +21,16 @@ from tallywright.llm import textkernel as tk
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
 #: Distinct pretokens a worker remembers before it starts anew.
 MOST_KNOWN = 1 << 21
+
+
+def _signs() -> dict[int, str]:
+    """The sign for each byte in byte-level vocabularies: printable Latin-1 signs stand for themselves, others follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_SIGNS = _signs()
 _PLAIN = tk.Alphabet(np.ones(256, bool), lower=False)
 _encoders: dict[str, Encoder] = {}
 _EMPTY = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -107,7 +118,8 @@ class Encoder:
 
     def learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
         """New pretokens go to a small sorted table that joins the large one once it has an eighth of its size."""
-        ids = [e.ids for e in self.tokenizer.encode_batch([t.decode("utf-8") for t in texts], add_special_tokens=False)]
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(text.decode("latin-1").translate(_SIGNS))] for text in texts]
         lengths = np.array([len(x) for x in ids], np.int64)
         starts = self.used + np.concatenate([[0], np.cumsum(lengths)[:-1]])
         flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))

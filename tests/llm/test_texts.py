@@ -51,6 +51,15 @@ def test_token_ids_equal_the_library(tokenizer):
     assert got == want
 
 
+def test_signs_of_bytes_are_the_library_s():
+    from tokenizers import pre_tokenizers
+
+    assert sorted(token_ids._SIGNS.values()) == sorted(pre_tokenizers.ByteLevel.alphabet())
+    for text in ("aé\n中 \x00", "".join(map(chr, range(1, 128)))):
+        said = "".join(p for p, _ in pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(text))
+        assert said == text.encode().decode("latin-1").translate(token_ids._SIGNS)
+
+
 def test_store_round_trip(spark, odd, nothing, documents, tokenizer, encoded, tmp_path):
     df = documents.select("doc_id", "text").where("doc_id > 20").unionByName(odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).select("doc_id", "text"))
     path = f"file://{tmp_path}/store"
