@@ -17,8 +17,9 @@ inequality its inverse is a p-value that falls with length, so short strings can
 p-values go through Benjamini-Hochberg within each document, each weighted by its length (weights of
 mean one), at level ``fdr``. Of found runs that nest, the outermost is reported.
 
-Defined cases: a null text is empty and has no spans; a null doc_id stays null; repeated rows are each
-scanned; offsets are code points, end exclusive; an empty table gives no rows.
+Defined cases: a null text is empty and has no spans; a null doc_id stays null; repeated rows are each scanned; offsets are code
+points, end exclusive; hypotheses with one p-value are accepted or not together; a very long text is scanned whole, by itself;
+other columns are ignored by ``scan`` and kept by ``redact``, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
