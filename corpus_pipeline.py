@@ -1,4 +1,10 @@
-"""A training corpus from ``documents``: five stages, each over all that the one before it kept."""
+"""A training corpus from ``documents``: five stages, each over all that the one before it kept.
+
+Defined cases, of every stage: rows without doc_id, and rows that share one, are judged each by their own text; null and empty texts
+pass all stages (nothing is found in them) and pack as their end id alone; exact repeats of a row stay until the join, which keeps one;
+very long texts are judged whole; ties are settled by doc_id, then by a digest of the text; columns other than those of
+``documents`` pass through all stages but the last; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +18,7 @@ from pyspark.sql import functions as F
 from tallywright.llm import decontaminate, ngram_join, packing, quality, secrets
 from tallywright.llm.components import own_exchange, row_digest
 from tallywright.llm.queries import table, tokenizer_path
-from tallywright.llm.scratch import materialise, ship
+from tallywright.llm.scratch import materialise, ship, swept
 
 
 def _without(docs: DataFrame, gone: DataFrame, names: list[str]) -> DataFrame:
@@ -70,9 +76,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids in windows of 1024: one row per piece."""
+    """The documents' token ids in windows of 1024: one row per piece, with its ids."""
     ship(spark)
-    return packing.pack(docs, tokenizer_path(), window=1024, end_id=0)
+    return packing.pack(docs, tokenizer_path(), window=1024, end_id=0, with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -88,7 +94,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another; what a stage wrote besides its result, and its input, go when its result is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with swept(spark) as sweep:
+        for name, stage in STAGES:
+            docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            sweep(docs)
     return docs
