@@ -621,3 +621,48 @@ def pruned_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage(one, EXPENDITURE, LAYOUT).groupBy("jurisdiction_code", "fiscal_year", "direction").agg(F.count(F.lit(1)).alias("n"))
 
 
+
+
+FIELDS = [
+    ("budget_line_id", "string", "budget-line-id", None),
+    ("fiscal_year", "integer", "date:fiscal-year", None),
+    ("phase_id", "string", "phase:id", None),
+    ("source_row", "integer", "tallywright:source:row", None),
+    *((f"{x}_{p}", "string", f"{kind}:{p}", None if p == "code" else f"{kind}:code") for x, kind in (
+        ("fund", "tallywright:fund"),
+        ("kan", "functional-classification:generic:level1"),
+        ("kou", "functional-classification:generic:level2"),
+        ("moku", "functional-classification:generic:level3"),
+        ("jikou", "activity:generic:program"),
+        ("setsu", "economic-classification:generic:level1"),
+        ("saisaisetsu", "economic-classification:generic:level2"),
+    ) for p in ("code", "label")),
+    ("value", "integer", "value", None),
+    ("source_amount", "integer", "tallywright:source:amount", None),
+]
+
+
+@query(f"WITH f(name, type, column_type, label_of) AS (VALUES {values(FIELDS)}) SELECT 'tabular-data-package' AS profile, 'p' AS package, '2024-05-01' AS created, f.*, (SELECT count(*) FROM orders) AS rows FROM f")
+def package_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A package written down, and what its descriptor says of each column; the descriptor's digest is the file's."""
+    import hashlib
+
+    from tallywright.plans import package
+
+    folder = Path(_local_folder(spark))
+    table_ = staging.canonical(staged(spark, sf_dir), EXPENDITURE)
+    package.write_package(str(folder), "p", {EXPENDITURE: (table_, "x", ["budget_line_id"], ["source_row"])}, "2024-05-01")
+    told = json.loads((folder / "datapackage.json").read_text())
+    one, body = told["resources"][0], (folder / "expenditure.csv").read_bytes()
+    rows = body.count(b"\n") - 1 if one["hash"] == "sha256:" + hashlib.sha256(body).hexdigest() and one["bytes"] == len(body) else -1
+    out = [(told["profile"], told["name"], told["created"], f["name"], f["type"], f.get("columnType"), f.get("labelOf"), rows) for f in one["schema"]["fields"]]
+    return spark.createDataFrame(out, "profile string, package string, created string, name string, type string, column_type string, label_of string, rows bigint")
+
+
+@query("SELECT n_name AS name, count(*) AS n FROM nation GROUP BY 1")
+def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries of a catalogue that gives seven at a time; of those with one name the last."""
+    found = [{"name": r.n_name, "title": "t", "organization": {"name": "o"}, "resources": []} for r in table(spark, sf_dir, "nation").collect()]
+    found += found[:3]
+    got = list(catalog.all_results(lambda start: {"count": len(found), "results": found[start : start + 7]}))
+    return catalog.packages_of(spark, got).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
