@@ -111,7 +111,7 @@ class Bands:
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, distinct shingle hashes sorted by row and value, offsets) by blocks of rows."""
-    for lo, hi, data, offsets in tk.string_blocks(texts):
+    for lo, hi, data, offsets in tk.string_blocks(texts, tk.WORK_BYTES):
         _, _, hashes, rows = tk.words(data, offsets, tk.NOT_SPACE)
         counts = np.bincount(rows, minlength=hi - lo)
         sh, sh_rows = tk.grams(hashes, rows, k)

@@ -81,7 +81,7 @@ def _repeated(hashes: np.ndarray, rows: np.ndarray, weight: np.ndarray, n: int)
 
 def examine(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, votes as one number in base 3, hashed features) by blocks."""
-    for lo, hi, data, offsets in tk.string_blocks(texts):
+    for lo, hi, data, offsets in tk.string_blocks(texts, tk.WORK_BYTES):
         n = hi - lo
         row = np.repeat(np.arange(n), np.diff(offsets))
         kind = _KIND[data]

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+#: For work on words, shingles or features, whose arrays hold some hundred times a block's bytes.
+WORK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallywright.llm import chat, licenses, packing, quality, secrets, textkernel, token_ids, token_store, toxicity
+from tallywright.llm import chat, licenses, ngram_join, packing, quality, secrets, textkernel, token_ids, token_store, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,44 @@ def encoded(documents, odd, tokenizer):
     return lambda df: {r.doc_id: t.encode(r.text or "", add_special_tokens=False).ids for r in df.where("doc_id IS NOT NULL").collect()}
 
 
+def _worked_on(texts: pa.Array) -> tuple[list, list]:
+    """Keys of each text's set, and its votes and features, as the n-gram join and the quality classifier compute them."""
+    keys, seen, bands = [], [], ngram_join.Bands(80, 100)
+    for lo, _, tokens, offsets in ngram_join.shingle_sets(texts, 5):
+        row, key, slack = ngram_join.segment_keys(tokens, offsets, bands)
+        keys += zip((lo + row).tolist(), key.tolist(), slack.tolist(), strict=True)
+    for _, _, code, x in quality.examine(texts):
+        seen += [(c, v.tobytes()) for c, v in zip(code.tolist(), x, strict=True)]
+    return sorted(keys), seen
+
+
+def test_results_do_not_depend_on_blocks(monkeypatch):
+    rng = random.Random(5)
+    texts = pa.array([" ".join(rng.choice(["ab", "CD", "é.", "中", "x!"]) + str(rng.randrange(99)) for _ in range(rng.choice([0, 3, 40, 400]))) for _ in range(150)] + [None, ""])
+    one = _worked_on(texts)
+    monkeypatch.setattr(textkernel, "WORK_BYTES", 1000)
+    assert one == _worked_on(texts) and len(one[0]) > 1000 and len(one[1]) == 152
+
+
+@pytest.mark.parametrize("work, megabytes", [("keys", 30), ("features", 50)])
+def test_workers_hold_little_of_a_batch(work, megabytes):
+    rng = random.Random(6)
+    texts = pa.array([" ".join(f"word{rng.randrange(10**6)}" for _ in range(300)) for _ in range(1000)])
+    bands = ngram_join.Bands(80, 100)
+    tracemalloc.start()
+    try:
+        if work == "features":
+            for _ in quality.examine(texts):
+                pass
+        else:
+            for _, _, tokens, offsets in ngram_join.shingle_sets(texts, 5):
+                ngram_join.segment_keys(tokens, offsets, bands)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < megabytes << 20, peak >> 20
+
+
 def test_words_equal_regular_expressions():
     rng = random.Random(0)
     texts = ["".join(rng.choice(" \t\n\x0b\x1cAbZé中😀-_0.") for _ in range(rng.randrange(30))) for _ in range(500)] + ["", None, "x" * 3_000_000]
